@@ -1,0 +1,18 @@
+"""Join helpers for keys that hold a large part of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def salted_lookup(rows: DataFrame, lookup: DataFrame, on: list[str], spread_by: Column, salts: int = 32) -> DataFrame:
+    """Left join of ``rows`` with a ``lookup`` that has few rows per key.
+
+    Rows of one key are spread over ``salts`` tasks by the hash of ``spread_by``, and each lookup
+    row is repeated once per salt, so a hot key costs ``salts`` copies of its lookup rows.
+    """
+    salt = "_salt"
+    spread = rows.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    copies = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return spread.join(copies, [*on, salt], "left").drop(salt)
