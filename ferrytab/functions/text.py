@@ -19,9 +19,12 @@ _DIGITS = "[0-9](?:_?[0-9])*"
 NUMBER_PATTERN = (
     rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
 )
-_POSITIVE_INFINITY = ("inf", "+inf", "infinity", "+infinity")
-_NEGATIVE_INFINITY = ("-inf", "-infinity")
-_NOT_A_NUMBER = ("nan", "+nan", "-nan")
+# The words Python's float() takes.
+NUMBER_WORDS = {
+    "nan": "nan", "+nan": "nan", "-nan": "nan",
+    "inf": "inf", "+inf": "inf", "infinity": "inf", "+infinity": "inf",
+    "-inf": "-inf", "-infinity": "-inf",
+}
 
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
 
@@ -88,11 +91,9 @@ def shown(column: Column, dtype: T.DataType) -> Column:
 def parse_number(text: Column) -> Column:
     """``float(text)`` for text, or null where Python raises ``ValueError``."""
     bare = F.lower(strip(text))
-    return (
-        F.when(bare.rlike(NUMBER_PATTERN), F.translate(bare, "_", "").try_cast("double"))
-        .when(bare.isin(*_NOT_A_NUMBER), F.lit(float("nan")))
-        .when(bare.isin(*_POSITIVE_INFINITY), F.lit(float("inf")))
-        .when(bare.isin(*_NEGATIVE_INFINITY), F.lit(float("-inf")))
+    words = F.create_map(*[part for w, v in NUMBER_WORDS.items() for part in (F.lit(w), F.lit(float(v)))])
+    return F.when(bare.rlike(NUMBER_PATTERN), F.translate(bare, "_", "").try_cast("double")).otherwise(
+        F.try_element_at(words, bare)
     )
 
 

@@ -120,7 +120,7 @@ class TransformRegistry:
 
     def register(self, name: str, build: TypedFunction, returns: str = "string") -> None:
         """Add a transform written with Spark column functions."""
-        self._transforms[name] = Transform(name, build, T._parse_datatype_string(returns))
+        self._transforms[name] = Transform(name, build, T.DataType.fromDDL(returns))
 
     def register_python(self, name: str, function: Callable, returns: str = "string") -> None:
         """Add a plain Python function of one value; it runs in Arrow batches."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ferrytab.functions.text import column_type, find_column, is_numeric
 from ferrytab.functions.transforms import TransformRegistry
 from ferrytab.operators.rules import Rule, not_null_rule
-from ferrytab.schemas import TABLES
+from ferrytab.schemas import table_schema
 
 
 @dataclass(frozen=True)
@@ -111,7 +111,7 @@ def mapping_rows(spark: SparkSession, mapping: EntityMapping) -> DataFrame:
         )
         for field in mapping.fields
     ]
-    return spark.createDataFrame(rows, TABLES["entity_mappings"])
+    return spark.createDataFrame(rows, table_schema("entity_mappings"))
 
 
 def read_mapping(rows: DataFrame, entity_type: str, target_table: str) -> EntityMapping:

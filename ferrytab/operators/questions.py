@@ -180,8 +180,8 @@ def question_context(
     )
 
 
-def trim_history(messages: DataFrame, session: str, turn: str, keep: int = KEPT_MESSAGES) -> DataFrame:
+def trim_history(messages: DataFrame, session: str, order_by: list[str], keep: int = KEPT_MESSAGES) -> DataFrame:
     """The last ``keep`` messages of every session; each task cuts a session down before the shuffle."""
-    newest = Window.partitionBy(session).orderBy(F.col(turn).desc_nulls_last())
+    newest = Window.partitionBy(session).orderBy(*[F.col(c).desc_nulls_last() for c in order_by])
     numbered = messages.withColumn("_newest", F.row_number().over(newest))
     return numbered.where(F.col("_newest") <= keep).drop("_newest")

@@ -64,19 +64,36 @@ def _is_null(column: Column, dtype: T.DataType) -> Column:
     return column.isNull()
 
 
-def mismatch_type(left: Column, right: Column, types: tuple[T.DataType, T.DataType], tolerance: float) -> Column:
-    """Null when two values are equal, else ``missing``, ``extra`` or ``value``."""
-    no_left, no_right = _is_null(left, types[0]), _is_null(right, types[1])
+def _same_text(left: Column, right: Column) -> Column:
+    """True for one and the same text, which needs no look at its number unless that is not a number."""
+    return (left == right) & ~F.lower(left).contains("nan")
+
+
+def number_columns(left: Column, right: Column, types: tuple[T.DataType, T.DataType]) -> tuple[Column, Column]:
+    """Both values as numbers, null where a value is no number or the texts are the same anyway."""
     numbers = as_number(left, types[0]), as_number(right, types[1])
-    texts = [F.lower(strip(as_text(c, t))) for c, t in zip((left, right), types)]
+    if all(isinstance(t, T.StringType) for t in types):
+        return tuple(F.when(~_same_text(left, right), n) for n in numbers)
+    return numbers
+
+
+def mismatch_type(
+    left: Column, right: Column, types: tuple[T.DataType, T.DataType], numbers: tuple[Column, Column], tolerance: float
+) -> Column:
+    """Null when two values are equal, else ``missing``, ``extra`` or ``value``.
+
+    ``numbers`` are the columns that hold the result of :func:`number_columns`.
+    """
+    no_left, no_right = _is_null(left, types[0]), _is_null(right, types[1])
+    close = is_close(*numbers, tolerance)
     if all(map(is_numeric, types)):
-        equal = is_close(*numbers, tolerance)
+        equal = close
     else:
+        texts = [F.lower(strip(as_text(c, t))) for c, t in zip((left, right), types)]
         both = numbers[0].isNotNull() & numbers[1].isNotNull()
-        equal = F.when(both, is_close(*numbers, tolerance)).otherwise(texts[0] == texts[1])
+        equal = F.when(both, close).otherwise(texts[0] == texts[1])
         if all(isinstance(t, T.StringType) for t in types):
-            # The same text is equal without a look at its number, unless that is not a number.
-            equal = F.when((left == right) & ~F.lower(left).contains("nan"), F.lit(True)).otherwise(equal)
+            equal = F.when(_same_text(left, right), F.lit(True)).otherwise(equal)
     return (
         F.when(no_left & no_right, F.lit(None))
         .when(no_right, F.lit("missing"))
@@ -135,20 +152,18 @@ def pair_records(source: DataFrame, target: DataFrame, how: Comparison) -> DataF
     )
     both = F.col("source_rows").isNotNull() & F.col("target_rows").isNotNull()
     joined = left.join(right, names, "full_outer")
-    return joined.withColumns(
-        {
-            f"_m{i}": F.when(
-                both,
-                mismatch_type(
-                    F.col(f"_source.v{i}"),
-                    F.col(f"_target.v{i}"),
-                    (_kind(source, name), _kind(target, name)),
-                    how.tolerance,
-                ),
-            )
-            for i, name in enumerate(columns)
-        }
-    )
+    cells = [(F.col(f"_source.v{i}"), F.col(f"_target.v{i}")) for i in range(len(columns))]
+    kinds = [(_kind(source, name), _kind(target, name)) for name in columns]
+    # The numbers stand in a projection of their own, as the comparison reads each several times.
+    numbers = {}
+    for i, (pair, types) in enumerate(zip(cells, kinds)):
+        one, two = number_columns(*pair, types)
+        numbers |= {f"_a{i}": one, f"_b{i}": two}
+    flags = {
+        f"_m{i}": F.when(both, mismatch_type(*pair, types, (F.col(f"_a{i}"), F.col(f"_b{i}")), how.tolerance))
+        for i, (pair, types) in enumerate(zip(cells, kinds))
+    }
+    return joined.withColumns(numbers).withColumns(flags)
 
 
 def reconcile(source: DataFrame, target: DataFrame, how: Comparison) -> DataFrame:

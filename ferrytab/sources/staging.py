@@ -231,7 +231,7 @@ class Workspace:
 
     def record(self, df: DataFrame, table: str) -> None:
         """Append rows to a metadata table; states it does not allow stop the write."""
-        partition = "job_id" if "job_id" in schemas.TABLES[table].fieldNames() else "entity_type"
+        partition = "job_id" if "job_id" in schemas.table_schema(table).fieldNames() else "entity_type"
         self.append(schemas.conform(df, table), table, partition)
 
     def audit(
@@ -275,6 +275,6 @@ def _problem(df: DataFrame, field: TargetField) -> Column | None:
         return F.lit(True) if field.required else None
     column = F.col(field.name)
     checks = [column.isNull()] if field.required else []
-    if column_type(df, field.name) != T._parse_datatype_string(field.type):
+    if column_type(df, field.name) != T.DataType.fromDDL(field.type):
         checks.append(column.isNotNull() & column.cast("string").try_cast(field.type).isNull())
     return reduce(or_, checks) if checks else None
