@@ -55,9 +55,10 @@ def status_map(x):
 
 
 def title_case(x):
+    # upper() of this engine leaves ß as it is; the title form of ß is Ss.
     return (
         r"array_to_string(list_transform(regexp_extract_all(lower(trim(" + x + r")), '(\p{L}+|\P{L}+)'), "
-        "lambda w: upper(w[1]) || substr(w, 2)), '')"
+        "lambda w: CASE w[1] WHEN 'ß' THEN 'Ss' ELSE upper(w[1]) END || substr(w, 2)), '')"
     )
 
 
@@ -194,7 +195,7 @@ ORACLE: dict[str, str] = {
     "extract_totals": f"SELECT (count(*) + {BATCH_SIZE - 1}) // {BATCH_SIZE} AS batches, count(*) AS total_records "
     "FROM lineitem",
     "missing_batches": "SELECT batch_number FROM (SELECT (row_number() OVER (ORDER BY event_id) - 1) // 10 "
-    "AS batch_number, event_type FROM events) GROUP BY batch_number HAVING count_if(event_type = 'purchase') = 0",
+    "AS batch_number, event_type FROM events) GROUP BY batch_number HAVING count(*) FILTER (event_type = 'purchase') = 0",
     "synthetic_policies": _SYNTHETIC,
     "batch_checksum": with_views(["order_rows"], _checksums("order_rows")),
     "combined_checksum": with_views(
@@ -229,8 +230,8 @@ _MISFIT = "policy_id IS NULL OR effective_date IS NULL OR try_cast(effective_dat
 def _load(dry_run: str) -> str:
     return with_views(
         ["policy_master"],
-        f"SELECT 'policies' AS entity, 'green' AS slot, {dry_run} AS dry_run, count_if(NOT ({_MISFIT})) AS total_loaded, "
-        f"count_if({_MISFIT}) AS total_errors FROM ({MAPPED})",
+        f"SELECT 'policies' AS entity, 'green' AS slot, {dry_run} AS dry_run, count(*) FILTER (NOT ({_MISFIT})) AS total_loaded, "
+        f"count(*) FILTER ({_MISFIT}) AS total_errors FROM ({MAPPED})",
     )
 
 
@@ -284,7 +285,7 @@ ORACLE |= {
 
 _CODE = f"coalesce({status_map('code')}, 'UNKNOWN')"
 _STAT = (
-    "SELECT {column} AS column_name, {transform} AS transform, count_if({changed}) AS records_changed, "
+    "SELECT {column} AS column_name, {transform} AS transform, count(*) FILTER ({changed}) AS records_changed, "
     "count(*) AS total_records FROM policy_master"
 )
 
@@ -325,7 +326,7 @@ ORACLE |= {
     "map_required": with_views(
         ["probes"],
         "SELECT 'day_required' AS rule_name, 'critical' AS severity, "
-        f"count_if(({date_to_iso('day')}) IS NULL) AS failures FROM probes",
+        f"count(*) FILTER (({date_to_iso('day')}) IS NULL) AS failures FROM probes",
     ),
     "transform_chain": with_views(
         ["policy_master"],
@@ -393,9 +394,7 @@ _FAILURES = " UNION ALL ".join(
 
 
 def _on_mapped(body: str) -> str:
-    return with_views(["policy_master"], body).replace("\nSELECT", f", mapped AS ({MAPPED})\nSELECT", 1) if False else (
-        with_views(["policy_master"], "").rstrip() + f", mapped AS ({MAPPED})\n{body}"
-    )
+    return with_views(["policy_master"], "").rstrip() + f", mapped AS ({MAPPED})\n{body}"
 
 
 for _key, _name in (
@@ -419,9 +418,9 @@ ORACLE |= {
     ),
     "rule_custom": _on_mapped(
         "SELECT * FROM (SELECT 'coverage_covers_premium' AS rule_name, 'warning' AS severity, "
-        "count_if(coverage_amount < premium_amount) AS failures FROM mapped UNION ALL "
-        "SELECT 'recent', 'critical', count_if(effective_date IS NULL) FROM mapped UNION ALL "
-        "SELECT 'recent', 'warning', count_if(CAST(substr(effective_date, 1, 4) AS INT) < 1993) FROM mapped) "
+        "count(*) FILTER (coverage_amount < premium_amount) AS failures FROM mapped UNION ALL "
+        "SELECT 'recent', 'critical', count(*) FILTER (effective_date IS NULL) FROM mapped UNION ALL "
+        "SELECT 'recent', 'warning', count(*) FILTER (CAST(substr(effective_date, 1, 4) AS INT) < 1993) FROM mapped) "
         "WHERE failures > 0"
     ),
     "validate_failures": _on_mapped(_FAILURES),
@@ -432,7 +431,7 @@ ORACLE |= {
         "SELECT total_records, total_checks, total_checks - failed AS passed, failed, critical_failures, "
         "records_failed, (total_checks - failed) / total_checks * 100 AS pass_rate, "
         "critical_failures = 0 AND (total_checks - failed) / total_checks * 100 >= 99.9 AS acceptable FROM "
-        "(SELECT count(*) AS failed, count_if(severity = 'critical') AS critical_failures, "
+        "(SELECT count(*) AS failed, count(*) FILTER (severity = 'critical') AS critical_failures, "
         f"count(DISTINCT record_id) AS records_failed FROM ({_FAILURES})), "
         f"(SELECT count(*) AS total_records, count(*) * {len(_RULES)} AS total_checks FROM mapped)"
     ),
@@ -521,7 +520,7 @@ _PAIRED = _paired("recon", ["policy_id"], _POLICY_KINDS, ["premium"])
 _DETAILS = _detail_rows(_PAIRED, list(_POLICY_KINDS))
 _SIDES = ["recon_source", "recon_target"]
 _STATUS_COUNTS = ", ".join(
-    f"count_if(status = '{s}') AS {s}" for s in ("matched", "mismatched", "missing_in_target", "missing_in_source")
+    f"count(*) FILTER (status = '{s}') AS {s}" for s in ("matched", "mismatched", "missing_in_target", "missing_in_source")
 )
 _RATE = "matched / (matched + mismatched + missing_in_target + missing_in_source) * 100"
 
@@ -603,7 +602,7 @@ ORACLE |= {
         _SIDES,
         f"SELECT total_records, matched, mismatched, missing_in_target, missing_in_source, critical_issues, warnings, "
         f"{_RATE} AS match_rate_pct, '{JOB}' AS job_id FROM (SELECT count(*) AS total_records, {_STATUS_COUNTS}, "
-        "count_if(severity = 'critical') AS critical_issues, count_if(severity = 'warning') AS warnings "
+        "count(*) FILTER (severity = 'critical') AS critical_issues, count(*) FILTER (severity = 'warning') AS warnings "
         f"FROM ({_PAIRED}))",
     ),
     "recon_by_field": with_views(_SIDES, _fields(_PAIRED, list(_POLICY_KINDS))),
@@ -611,9 +610,9 @@ ORACLE |= {
         ["probes"],
         "SELECT 'id' AS column_name, 'bigint' AS source_type, 'string' AS target_type, count(id) AS values, "
         "CAST(0 AS BIGINT) AS lost, 'type_mismatch' AS status FROM probes UNION ALL "
-        "SELECT 'amount', 'string', 'double', count(amount), count_if(amount IS NOT NULL AND "
+        "SELECT 'amount', 'string', 'double', count(amount), count(*) FILTER (amount IS NOT NULL AND "
         f"({number('amount')}) IS NULL), 'type_mismatch' FROM probes UNION ALL "
-        "SELECT 'day', 'string', 'date', count(day), count_if(day IS NOT NULL AND NOT "
+        "SELECT 'day', 'string', 'date', count(day), count(*) FILTER (day IS NOT NULL AND NOT "
         "regexp_full_match(day, '[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}')), 'type_mismatch' FROM probes",
     ),
 }
@@ -797,9 +796,9 @@ def _first_stages(source: str, status: str) -> list[str]:
 _GATE_RULES = [
     (n, f, s, e, a, z, c.replace(AS_OF, "2026-01-01")) for n, f, s, e, a, z, c in _RULES
 ]
-_GATE_FAILED = " + ".join(f"count_if(NOT coalesce({r[6]}, false))" for r in _GATE_RULES)
+_GATE_FAILED = " + ".join(f"count(*) FILTER (NOT coalesce({r[6]}, false))" for r in _GATE_RULES)
 _VALID = _stage(3, "validate", "acceptable", "{}", "policy_clean", "count(*)", "0", "100.0")
-_MISLOADED = f"SELECT count_if(premium_amount >= 1000) AS bad, count(*) AS n FROM ({_CLEAN})"
+_MISLOADED = f"SELECT count(*) FILTER (premium_amount >= 1000) AS bad, count(*) AS n FROM ({_CLEAN})"
 
 ORACLE |= {
     "migration_report": _stages(
@@ -850,8 +849,8 @@ ORACLE |= {
         "SELECT *, batches_completed / batches_total * 100 AS progress_pct, CASE WHEN batches_completed > 0 THEN "
         "elapsed_seconds * (batches_total - batches_completed) / batches_completed END AS estimated_remaining_seconds "
         f"FROM (SELECT job_id, date_diff('second', min(started_at), TIMESTAMP '{NOW}') AS elapsed_seconds, "
-        "count(*) AS batches_total, count_if(status = 'completed') AS batches_completed, "
-        "count_if(status = 'failed') AS batches_failed, CAST(sum(record_count) AS BIGINT) AS total_records, "
+        "count(*) AS batches_total, count(*) FILTER (status = 'completed') AS batches_completed, "
+        "count(*) FILTER (status = 'failed') AS batches_failed, CAST(sum(record_count) AS BIGINT) AS total_records, "
         "CAST(coalesce(sum(record_count) FILTER (status = 'completed'), 0) AS BIGINT) AS processed_records "
         "FROM job_batches GROUP BY 1)",
     ),
