@@ -92,9 +92,11 @@ def parse_number(text: Column) -> Column:
     """``float(text)`` for text, or null where Python raises ``ValueError``."""
     bare = F.lower(strip(text))
     words = F.create_map(*[part for w, v in NUMBER_WORDS.items() for part in (F.lit(w), F.lit(float(v)))])
-    return F.when(bare.rlike(NUMBER_PATTERN), F.translate(bare, "_", "").try_cast("double")).otherwise(
+    general = F.when(bare.rlike(NUMBER_PATTERN), F.translate(bare, "_", "").try_cast("double")).otherwise(
         F.try_element_at(words, bare)
     )
+    # Text of these characters alone is a number for Spark exactly when it is one for Python.
+    return F.when(text.rlike("^[0-9.eE+-]+$"), text.try_cast("double")).otherwise(general)
 
 
 def as_number(column: Column, dtype: T.DataType) -> Column:
@@ -110,5 +112,6 @@ def title_case(text: Column) -> Column:
     """``str.title()``: a cased letter is upper exactly when no cased letter stands before it."""
     runs = F.regexp_extract_all(F.lower(text), F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1))
     general = F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
-    # Plain words need no array per row.
-    return F.when(text.rlike("^[A-Za-z ]*$"), F.initcap(text)).otherwise(general)
+    # Where every word begins after a blank, initcap does the same without an array per row.
+    plain = text.rlike("^[ -~]*$") & ~text.rlike(r"[!-@\[-`{-~][A-Za-z]")
+    return F.when(plain, F.initcap(text)).otherwise(general)

@@ -47,11 +47,20 @@ def trim_string(column: Column, dtype: T.DataType) -> Column:
 def date_to_iso(column: Column, dtype: T.DataType) -> Column:
     text = as_text(column, dtype)
     bare = strip(text)
-    packed = F.regexp_replace(bare, "[-/]", "")
-    is_day = packed.rlike("^[0-9]{8}$") & ~packed.startswith("0000")
+    packed = F.translate(bare, "-/", "")
+
+    def day(digits: Column) -> Column:
+        dashed = F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2))
+        return dashed.try_cast("date").cast("string")
+
+    # Most values are eight digits or an ISO day as they stand. No calendar day has the year 0000.
+    is_day = "^(?!0000)[0-9]{8}$"
+    is_iso = "^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}$"
     return (
-        F.when(bare.isNull() | bare.isin(*NO_DATE), F.lit(None))
-        .when(is_day, F.date_format(F.try_to_date(packed, "yyyyMMdd"), "yyyy-MM-dd"))
+        F.when(text.rlike(is_day), day(text))
+        .when(text.rlike(is_iso), text.try_cast("date").cast("string"))
+        .when(text.isNull() | bare.isin(*NO_DATE), F.lit(None))
+        .when(packed.rlike(is_day), day(packed))
         .when(F.length(packed) == 8, F.lit(None))
         .otherwise(text)
     )

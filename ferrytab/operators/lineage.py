@@ -33,31 +33,43 @@ def build_lineage(
         shown(F.col(f.source_column), column_type(df, f.source_column)).alias(f"s{i}") for i, f in enumerate(present)
     ]
     mapped = df.select(*[mapped_column(df, f, registry).alias(f"t{i}") for i, f in enumerate(present)], *sources)
+    targets = [shown(F.col(f"t{i}"), column_type(mapped, f"t{i}")) for i in range(len(present))]
     key = next(i for i, f in enumerate(present) if f.is_key)
 
-    def entry(i: int) -> Column:
-        field = present[i]
-        return F.struct(
-            F.lit(field.source_column).alias("source_column"),
-            F.col(f"s{i}").alias("source_value"),
-            F.lit(field.target_field).alias("target_column"),
-            shown(F.col(f"t{i}"), column_type(mapped, f"t{i}")).alias("target_value"),
-            F.lit(field.transform or DIRECT_COPY).alias("transformation"),
-        )
-
-    entries = mapped.select(
-        shown(F.col(f"t{key}"), column_type(mapped, f"t{key}")).alias("record_id"),
-        F.inline(F.array(*[entry(i) for i in range(len(present))])),
+    # What does not depend on the row is one constant array. The values are picked afterwards, so a
+    # reader that leaves them out does not pay for the transforms.
+    constant = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("_field"),
+                F.lit(f.source_column).alias("source_column"),
+                F.lit(f.target_field).alias("target_column"),
+                F.lit(f.transform or DIRECT_COPY).alias("transformation"),
+            )
+            for i, f in enumerate(present)
+        ]
     )
+
+    def picked(values: list[Column]) -> Column:
+        choice = F.when(F.col("_field") == 0, values[0])
+        for i, value in enumerate(values[1:], 1):
+            choice = choice.when(F.col("_field") == i, value)
+        return choice
+
     stamp = F.current_timestamp() if created_at is None else F.lit(str(created_at)).cast("timestamp")
-    full = entries.withColumns(
-        {
-            "job_id": F.lit(job_id),
-            "source_table": F.lit(mapping.source_table),
-            "target_table": F.lit(mapping.target_table),
-            "etl_commit_id": F.lit(etl_commit_id),
-            "created_at": stamp,
-        }
+    full = (
+        mapped.select("*", targets[key].alias("record_id"), F.inline(constant))
+        .withColumns(
+            {
+                "source_value": picked([F.col(f"s{i}") for i in range(len(present))]),
+                "target_value": picked(targets),
+                "job_id": F.lit(job_id),
+                "source_table": F.lit(mapping.source_table),
+                "target_table": F.lit(mapping.target_table),
+                "etl_commit_id": F.lit(etl_commit_id),
+                "created_at": stamp,
+            }
+        )
     )
     return full.select(
         F.md5(F.concat_ws("|", *_ID_PARTS)).alias("lineage_id"),
@@ -163,9 +175,14 @@ def data_map(lineage: DataFrame, failures: DataFrame) -> DataFrame:
     Entries of one field of a record collapse to one before they are collected, so a record that
     occurs many times costs no more than one that occurs once. ``entries`` keeps their number.
     """
-    field = ("job_id", "record_id", "source_table", "source_column", "target_table", "target_column")
-    values = F.struct("source_value", "target_value", "transformation", "etl_commit_id")
-    fields = lineage.groupBy(*field).agg(F.min(values).alias("_v"), F.count(F.lit(1)).alias("_n"))
+    values = F.struct(*_ID_PARTS, "source_value", "target_value", "transformation", "etl_commit_id")
+    # One short key for the six parts: rows are sorted by it, and record ids share long prefixes.
+    identity = F.md5(F.concat_ws("\x00", *[F.coalesce(part, F.lit("")) for part in _ID_PARTS]))
+    fields = (
+        lineage.groupBy(identity.alias("_identity"))
+        .agg(F.min(values).alias("_v"), F.count(F.lit(1)).alias("_n"))
+        .select(*[F.col(f"_v.{part}").alias(part) for part in _ID_PARTS], "_v", "_n")
+    )
     failed = (
         failures.groupBy("record_id", F.col("field_name").alias("target_column"))
         .agg(F.count(F.lit(1)).alias("_f"))

@@ -37,11 +37,15 @@ KEPT_MESSAGES = 20
 MAX_BROADCAST_LOOKUPS = 100_000
 
 _LOOKUP = ["lookup", "_a", "_b"]
+_LOWERED = "_lowered"
 
 
 def intent(question: Column) -> Column:
     """The first intent one of whose phrases is in the question."""
-    lowered = F.lower(question)
+    return _intent_of(F.lower(question))
+
+
+def _intent_of(lowered: Column) -> Column:
     chosen = F.lit(OTHER_INTENT)
     for name, phrases in reversed(INTENT_PHRASES):
         chosen = F.when(reduce(or_, [lowered.contains(p) for p in phrases]), F.lit(name)).otherwise(chosen)
@@ -52,27 +56,29 @@ def _first_contained(text: Column, words: tuple[str, ...]) -> Column:
     return F.coalesce(*[F.when(text.contains(word), F.lit(word)) for word in words])
 
 
-def with_entities(questions: DataFrame, text: str = "question") -> DataFrame:
+def with_entities(questions: DataFrame, text: str = "question", keep_lowered: bool = False) -> DataFrame:
     """Add ``record_id``, ``source_table``, ``source_column``, ``target_table`` and ``target_column``.
 
     A dotted reference names the source; known column and table names fill in what is still open.
     """
-    question, lowered = F.col(text), F.lower(text)
+    question, lowered = F.col(text), F.col(_LOWERED)
 
     def found(pattern: str, group: int) -> Column:
         return F.nullif(F.regexp_extract(question, pattern, group), F.lit(""))
 
     column, table = _first_contained(lowered, KNOWN_COLUMNS), _first_contained(lowered, KNOWN_TABLES)
     dotted = r"(?U)(\w+)\.(\w+)"
-    return questions.withColumns(
+    # Columns that are read several times stand in projections of their own.
+    words = questions.withColumn(_LOWERED, F.lower(text)).withColumns({"_column": column, "_table": table})
+    return words.withColumns(
         {
             "record_id": found("(?i)POL-[0-9]{6}", 0),
-            "source_table": F.coalesce(found(dotted, 1), F.concat(F.lit("db2_"), table)),
-            "source_column": F.coalesce(found(dotted, 2), column),
-            "target_table": F.concat(F.lit("fast_"), table),
-            "target_column": column,
+            "source_table": F.coalesce(found(dotted, 1), F.concat(F.lit("db2_"), F.col("_table"))),
+            "source_column": F.coalesce(found(dotted, 2), F.col("_column")),
+            "target_table": F.concat(F.lit("fast_"), F.col("_table")),
+            "target_column": F.col("_column"),
         }
-    )
+    ).drop("_column", "_table", *([] if keep_lowered else [_LOWERED]))
 
 
 def intent_counts(questions: DataFrame, text: str = "question") -> DataFrame:
@@ -80,33 +86,39 @@ def intent_counts(questions: DataFrame, text: str = "question") -> DataFrame:
 
 
 def _with_lookup(questions: DataFrame, text: str) -> DataFrame:
-    """Each question's intent, and what to look up for it; questions without a lookup drop out."""
-    known = with_entities(questions, text).withColumn("intent", intent(F.col(text)))
+    """Each question's intent, and what to look up for it (``none`` where there is nothing).
+
+    The three lookup columns are never null: for nullable join keys Spark would infer filters, push
+    them down, and evaluate all of this a second time.
+    """
+    known = with_entities(questions, text, keep_lowered=True).withColumn("intent", _intent_of(F.col(_LOWERED)))
     by_target = (F.col("intent") == "lineage_backward") & F.col("target_column").isNotNull()
     by_source = (F.col("intent") == "lineage_forward") & F.col("source_column").isNotNull()
     by_impact = (F.col("intent") == "impact") & F.col("source_column").isNotNull()
-
-    def route(target: Column, source: Column, record: Column) -> Column:
-        return (
-            F.when(by_target, target)
-            .when(by_source | by_impact, source)
-            .when(F.col("record_id").isNotNull(), record)
-        )
-
     kind = (
         F.when(by_target, F.lit("backward"))
         .when(by_source, F.lit("forward"))
         .when(by_impact, F.lit("impact"))
         .when(F.col("record_id").isNotNull(), F.lit("record"))
+        .otherwise(F.lit("none"))
     )
-    empty = F.lit("")
-    return known.select(
+    routed = known.withColumn("lookup", kind)
+
+    def part(target: str, source: str, record: Column) -> Column:
+        value = (
+            F.when(F.col("lookup") == "backward", F.col(target))
+            .when(F.col("lookup").isin("forward", "impact"), F.col(source))
+            .when(F.col("lookup") == "record", record)
+        )
+        return F.coalesce(value, F.lit(""))
+
+    return routed.select(
         *questions.columns,
         "intent",
-        kind.alias("lookup"),
-        route(F.coalesce("target_table", empty), F.coalesce("source_table", empty), F.col("record_id")).alias("_a"),
-        route(F.col("target_column"), F.col("source_column"), empty).alias("_b"),
-    ).where(F.col("lookup").isNotNull())
+        "lookup",
+        part("target_table", "source_table", F.col("record_id")).alias("_a"),
+        part("target_column", "source_column", F.lit("")).alias("_b"),
+    )
 
 
 def _entries(lineage: DataFrame, asked: DataFrame) -> DataFrame:
@@ -122,7 +134,6 @@ def _entries(lineage: DataFrame, asked: DataFrame) -> DataFrame:
 
     candidates = lineage.select(
         *entry,
-        "lineage_id",
         F.inline(
             F.array(
                 lookup("backward", F.col("target_table"), F.col("target_column")),
@@ -133,9 +144,9 @@ def _entries(lineage: DataFrame, asked: DataFrame) -> DataFrame:
     )
     if asked.limit(MAX_BROADCAST_LOOKUPS + 1).count() <= MAX_BROADCAST_LOOKUPS:
         candidates = candidates.join(F.broadcast(asked), _LOOKUP, "left_semi")
-    order = Window.partitionBy(*_LOOKUP).orderBy("record_id", "lineage_id")
+    order = Window.partitionBy(*_LOOKUP).orderBy(*entry)
     first = candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= RECORD_ENTRIES)
-    return first.where((F.col("lookup") == "record") | (F.col("rank") <= COLUMN_ENTRIES)).drop("lineage_id")
+    return first.where((F.col("lookup") == "record") | (F.col("rank") <= COLUMN_ENTRIES))
 
 
 def question_context(

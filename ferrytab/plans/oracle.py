@@ -715,7 +715,7 @@ _ENTRY = "record_id, source_table, source_column, target_table, target_column, t
 def _top(lookup: str, a: str, b: str, n: int) -> str:
     return (
         f"SELECT '{lookup}' AS lookup, {a} AS a, {b} AS b, {_ENTRY}, row_number() OVER (PARTITION BY {a}, {b} "
-        f"ORDER BY record_id, lineage_id) AS rank FROM lineage QUALIFY rank <= {n}"
+        f"ORDER BY {_ENTRY}) AS rank FROM lineage QUALIFY rank <= {n}"
     )
 
 
