@@ -101,12 +101,13 @@ def _iso_day(text: Column) -> Column:
     return F.when(plain, head.try_cast("date"))
 
 
-def _effective_date(name: str, as_of: Column) -> Callable[[Row], Column]:
+def _effective_date(name: str, as_of: date | str | None) -> Callable[[Row], Column]:
     def check(row: Row) -> Column:
         kind = row.type(name)
+        day = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
         if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return row.value(name).cast("date") <= as_of
-        return _iso_day(row.text(name)) <= as_of
+            return row.value(name).cast("date") <= day
+        return _iso_day(row.text(name)) <= day
 
     return check
 
@@ -134,7 +135,6 @@ def not_null_rule(name: str) -> Rule:
 
 def standard_rules(as_of: date | str | None = None) -> list[Rule]:
     """The seven policy rules. ``as_of`` is the day that dates may not lie after (default: today)."""
-    day = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
     statuses = ", ".join(VALID_STATUSES)
     products = ", ".join(PREMIUM_RANGES)
     # (?d): only a line feed may follow the text, as in Python.
@@ -154,7 +154,7 @@ def standard_rules(as_of: date | str | None = None) -> list[Rule]:
             WARNING, ">= 1000.00", "Coverage below minimum $1,000: {}",
         ),
         Rule(
-            "effective_date_valid", "effective_date", _effective_date("effective_date", day),
+            "effective_date_valid", "effective_date", _effective_date("effective_date", as_of),
             CRITICAL, "valid date, not future", "Invalid or future effective date: {}",
         ),
         Rule(
@@ -349,7 +349,7 @@ def transition_violations(
         parts.withColumn(before, F.lag(same).over(inside))
         .join(F.broadcast(carried), part)
         .withColumn(before, F.when(F.col(position) == 0, F.col("_carried")).otherwise(F.col(before)))
-        .where(F.col(before)["key"].eqNullSafe(F.col(key)))
+        .where(F.col(before).isNotNull() & F.col(before)["key"].eqNullSafe(F.col(key)))
     )
     earlier = F.col(before)["status"]
     pairs = F.array(*[F.lit(f"{a}>{b}") for a, b in allowed])
