@@ -77,13 +77,13 @@ CLAIM_MAPPING = EntityMapping(
 
 
 def mapped_column(df: DataFrame, field: FieldMapping, registry: TransformRegistry | None = None) -> Column:
-    """The target column of one mapping."""
-    column = F.col(field.source_column)
+    """The target column of one mapping. A default takes the type of the column it fills."""
+    column, kind = F.col(field.source_column), column_type(df, field.source_column)
     if field.transform:
-        registry = registry or TransformRegistry()
-        column = registry.apply(field.transform, column, column_type(df, field.source_column))
+        chosen = (registry or TransformRegistry()).get(field.transform)
+        column, kind = chosen.build(column, kind), chosen.returns
     if field.default is not None:
-        column = F.coalesce(column, F.lit(field.default))
+        column = F.coalesce(column, F.lit(field.default).cast(kind))
     return column.alias(field.target_field)
 
 

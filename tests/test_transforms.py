@@ -12,7 +12,10 @@ from ferrytab.functions.text import as_text, parse_number
 from ferrytab.functions.transforms import TransformRegistry
 from ferrytab.operators.mapping import (
     POLICY_MAPPING,
+    EntityMapping,
+    FieldMapping,
     change_statistics,
+    map_entity,
     mapping_rows,
     read_mapping,
     transform_columns,
@@ -143,3 +146,18 @@ def test_python_transform(spark):
 def test_mapping_as_rows(spark):
     again = read_mapping(mapping_rows(spark, POLICY_MAPPING), "policies", "fast_policies")
     assert again == POLICY_MAPPING
+
+
+def test_defaults_take_the_column_type(spark):
+    mapping = EntityMapping(
+        "e", "s", "t",
+        (
+            FieldMapping("AMT", "amount", "packed_decimal_to_float", default="1.5"),
+            FieldMapping("NAME", "name", default="-"),
+            FieldMapping("N", "n", default="7"),
+        ),
+    )
+    rows = spark.createDataFrame([("2", "a", 1), (None, None, None), ("x", "b", None)], "amt STRING, name STRING, n INT")
+    mapped = map_entity(rows, mapping)
+    assert mapped.dtypes == [("amount", "double"), ("name", "string"), ("n", "int")]
+    assert [tuple(r) for r in mapped.collect()] == [(2.0, "a", 1), (1.5, "-", 7), (1.5, "b", 7)]
