@@ -6,6 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ferrytab.functions.text import column_type
 
 PROMOTED, AWAITING, BLOCKED = "promoted", "awaiting_manual_promotion", "blocked"
 
@@ -23,8 +26,10 @@ def job_progress(jobs: DataFrame, batches: DataFrame, as_of: datetime | str | No
         F.sum("record_count").alias("total_records"),
         F.sum(F.when(done, F.col("record_count"))).alias("processed_records"),
     )
-    now = F.current_timestamp() if as_of is None else F.lit(str(as_of)).cast("timestamp")
-    elapsed = F.unix_seconds(now) - F.unix_seconds(F.col("started_at").cast("timestamp"))
+    kind = column_type(jobs, "started_at")
+    kind = kind if isinstance(kind, T.TimestampNTZType) else T.TimestampType()
+    now = (F.current_timestamp() if as_of is None else F.lit(str(as_of))).cast(kind)
+    elapsed = _seconds(now, kind) - _seconds(F.col("started_at").cast(kind), kind)
     totals = jobs.select("job_id", "started_at").join(counted, "job_id", "left")
     numbers = ("batches_total", "batches_completed", "batches_failed", "total_records", "processed_records")
     filled = totals.select("job_id", elapsed.alias("elapsed_seconds"), *[_or_zero(n) for n in numbers])
@@ -41,6 +46,14 @@ def job_progress(jobs: DataFrame, batches: DataFrame, as_of: datetime | str | No
     )
 
 
+def _seconds(moment: Column, kind: T.DataType) -> Column:
+    """Seconds since 1970; those of a time without a zone do not depend on the session's zone."""
+    if isinstance(kind, T.TimestampNTZType):
+        clock = F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+        return F.unix_date(moment.cast("date")).cast("bigint") * 86400 + clock
+    return F.unix_seconds(moment)
+
+
 def _or_zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0)).alias(name)
 
