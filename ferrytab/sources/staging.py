@@ -104,7 +104,8 @@ class Workspace:
                 target = table.replace("staged__", "archive__", 1)
                 self.append(mine, target)
                 kept = self.table(target).where(F.col("job_id") == job_id).count()
-            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (job_id = '{job_id}')")
+            partition = job_id.replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (job_id = '{partition}')")
             removed.append((table, rows, kept))
         return self.spark.createDataFrame(removed, "staged_table STRING, rows_removed BIGINT, rows_archived BIGINT")
 

@@ -40,6 +40,9 @@ def test_discarding_a_job_keeps_the_others(spark, space):
     assert space.table("archive__things__extract").count() == 25
     assert space.discard_staged("J1").count() == 0
     assert space.discard_staged("J2", archive=False).first()["rows_archived"] == 0
+    space.stage(numbers(spark, 0, 5), "it's", "things")
+    assert space.discard_staged("it's").first()["rows_removed"] == 5
+    assert space.staged("it's", "things").count() == 0
 
 
 def test_slots(spark, space):
