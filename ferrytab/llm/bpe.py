@@ -11,19 +11,18 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable
 from functools import lru_cache
-from hashlib import blake2b
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_intdigest
 
 #: Code points with the Unicode property White_Space. Fixed values.
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
-#: Remembered chunks of text per task process; then they are forgotten and looked up anew.
-CACHED = 1 << 17
+#: Chunks of text that a task process remembers, twice over: those of the last round and those of this one.
+CACHED = 1 << 18
 
 
 def read_ranks(spark: SparkSession, path: str) -> list[bytes]:
@@ -82,7 +81,7 @@ class PerfectHash:
                 used[slot], self.value[slot] = 1, i
 
     def _hashes(self, key: bytes) -> tuple[int, int, int]:
-        h = int.from_bytes(blake2b(key, digest_size=16).digest(), "little")
+        h = xxh3_128_intdigest(key)
         return (h & 0xFFFFFFFF) % self.n_buckets, h >> 32 & 0xFFFFFFFF, h >> 64
 
     def _place(self, b: int, c: int, d: int) -> int:
@@ -125,59 +124,79 @@ class Encoder:
         # White space is divided as by the tokenizer's pattern; a chunk between it is divided by that pattern later.
         self.coarse = re.compile(rf" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
         self.known: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
         self.rank = lru_cache(CACHED)(self._rank)
+        self.piece = lru_cache(CACHED)(self._piece)
+        self.pairs = [self._rank(bytes([a, b])) for a in range(256) for b in range(256)]
 
     def _rank(self, key: bytes) -> int:
         """Id of a token, or -1: the hash's place is right only if it holds that token."""
         i = int(self.index.value[self.index.slot(key)])
         return i if self.tokens[i] == key else -1
 
-    def _merged(self, piece: bytes) -> list[int]:
-        """Lowest rank first, leftmost among equals, over a linked list of pieces."""
-        n, rank = len(piece), self.rank
-        end = list(range(1, n + 1))  # a part is piece[i:end[i]]; end[i] is its right neighbour
-        before = list(range(-1, n - 1))
-        alive = bytearray(b"\x01") * n
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(piece[i : i + 2])) >= 0]
+    def _merged(self, piece: bytes) -> tuple[int, ...]:
+        """Lowest rank first, leftmost among equals, over a linked list of parts.
+
+        A part is ``piece[i:end[i]]``, so ``end[i]`` is its right neighbour; a part that has been merged
+        into its left neighbour has the end 0. A heap entry packs rank, part and the end of the pair.
+        """
+        n, rank, pairs = len(piece), self.rank, self.pairs
+        shift = n.bit_length()
+        low = (1 << shift) - 1
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r << shift | i) << shift | i + 2 for i in range(n - 1) if (r := pairs[piece[i] << 8 | piece[i + 1]]) >= 0]
         heapify(heap)
         while heap:
-            _, i, stop = heappop(heap)
-            if not alive[i] or end[i] >= n or end[end[i]] != stop:
-                continue
+            entry = heappop(heap)
+            stop, i = entry & low, entry >> shift & low
             right = end[i]
-            alive[right], end[i] = 0, stop
+            if right <= i or right >= n or end[right] != stop:
+                continue  # one of the two has been merged meanwhile
+            end[right], end[i] = 0, stop
             if stop < n:
                 before[stop] = i
                 if (r := rank(piece[i : end[stop]])) >= 0:
-                    heappush(heap, (r, i, end[stop]))
-            if (left := before[i]) >= 0 and (r := rank(piece[left:stop])) >= 0:
-                heappush(heap, (r, left, stop))
+                    heappush(heap, (r << shift | i) << shift | end[stop])
+            left = before[i]
+            if left >= 0 and (r := rank(piece[left:stop])) >= 0:
+                heappush(heap, (r << shift | left) << shift | stop)
         ids, i = [], 0
         while i < n:
             ids.append(rank(piece[i : end[i]]))
             i = end[i]
-        return ids
+        return tuple(ids)
+
+    def _piece(self, piece: bytes) -> tuple[int, ...]:
+        whole = self.rank(piece)
+        return (whole,) if whole >= 0 else self._merged(piece)
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
-        ids: list[int] = []
         seen = chunk if chunk.isascii() else chunk.translate(self.newer)
-        for match in self.fine.finditer(seen):
-            piece = chunk[match.start() : match.end()].encode()
-            whole = self.rank(piece)
-            ids += [whole] if whole >= 0 else self._merged(piece)
-        return tuple(ids)
+        parts = [chunk[m.start() : m.end()].encode() for m in self.fine.finditer(seen)]
+        if len(parts) == 1:
+            return self.piece(parts[0]) if len(parts[0]) <= 64 else self._piece(parts[0])
+        return tuple([i for p in parts for i in (self.piece(p) if len(p) <= 64 else self._piece(p))])
+
+    def _remembered(self, chunk: str) -> tuple[int, ...]:
+        ids = self.before.get(chunk)
+        if ids is None:
+            ids = self._chunk(chunk)
+        if len(chunk) <= 64:  # longer ones hardly ever come again
+            if len(self.known) >= CACHED:
+                self.before, self.known = self.known, {}
+            self.known[chunk] = ids
+        return ids
 
     def encode(self, text: str) -> np.ndarray:
-        known, chunks = self.known, self.coarse.findall(text)
-        for chunk in set(chunks):
-            if chunk not in known:
-                if len(chunk) > 64:  # long chunks hardly ever come again
-                    continue
-                if len(known) >= CACHED:
-                    known.clear()
-                known[chunk] = self._chunk(chunk)
-        parts = (known.get(c) or self._chunk(c) for c in chunks)
-        return np.fromiter(chain.from_iterable(parts), np.int32)
+        ids: list[int] = []
+        add, get = ids.extend, self.known.get
+        for chunk in self.coarse.findall(text):
+            found = get(chunk)
+            if found is None:
+                found = self._remembered(chunk)
+                get = self.known.get
+            add(found)
+        return np.array(ids, np.int32)
 
 
 class ByteBpe:
@@ -203,16 +222,24 @@ class ByteBpe:
         return _decoding(self._shared)(ids)
 
 
-def _encoding(shared, pattern: str) -> Callable[[Column], Column]:
-    held: list[Encoder] = []
+#: Encoders of this process by their broadcast, kept from task to task.
+_ENCODERS: dict[int, tuple] = {}
+
 
+def _encoder(shared, pattern: str) -> Encoder:
+    if id(shared) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[id(shared)] = shared, Encoder(*shared.value, pattern)
+    return _ENCODERS[id(shared)][1]
+
+
+def _encoding(shared, pattern: str) -> Callable[[Column], Column]:
     @F.arrow_udf("array<int>")
     def encode(texts):
         import pyarrow as pa
 
-        if not held:
-            held.append(Encoder(*shared.value, pattern))
-        each = [held[0].encode(t) if t else np.empty(0, np.int32) for t in (x.as_py() for x in texts)]
+        encoder = _encoder(shared, pattern)
+        each = [encoder.encode(t) if t else np.empty(0, np.int32) for t in (x.as_py() for x in texts)]
         ends = np.cumsum([0, *map(len, each)], dtype=np.int32)
         values = np.concatenate(each) if each else np.empty(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
