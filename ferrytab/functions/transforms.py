@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ferrytab.functions.text import as_number, as_text, strip, title_case
 
@@ -132,13 +132,19 @@ class TransformRegistry:
         self._transforms[name] = Transform(name, build, T.DataType.fromDDL(returns))
 
     def register_python(self, name: str, function: Callable, returns: str = "string") -> None:
-        """Add a plain Python function of one value; it runs in Arrow batches."""
+        """Add a plain Python function of one value; it runs in Arrow batches.
 
-        def values(series: pd.Series) -> pd.Series:
-            present = series.astype(object).where(series.notna(), None)
-            return pd.Series([function(value) for value in present], dtype=object)
+        The function gets the value as Spark holds it (int, Decimal, date, None ...), whatever else is
+        in its batch.
+        """
+        kind = to_arrow_type(T.DataType.fromDDL(returns))
 
-        udf = F.pandas_udf(values, returns)
+        def values(array):
+            import pyarrow as pa
+
+            return pa.array([function(value) for value in array.to_pylist()], kind)
+
+        udf = F.arrow_udf(values, returns)
         self.register(name, lambda column, dtype: udf(column), returns)
 
     def get(self, name: str) -> Transform:

@@ -36,7 +36,10 @@ class EntityMapping:
 
     @property
     def key(self) -> FieldMapping:
-        return next(field for field in self.fields if field.is_key)
+        for field in self.fields:
+            if field.is_key:
+                return field
+        raise ValueError(f"The mapping of {self.entity_type} has no key field")
 
     def required_rules(self) -> list[Rule]:
         """A critical not-null rule for every required target field."""

@@ -8,7 +8,6 @@ from datetime import date
 from functools import reduce
 from operator import or_
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -184,21 +183,24 @@ def python_rule(
 ) -> Rule:
     """A rule from a Python function of the value and the row (as a dict of ``columns``).
 
-    It runs in Arrow batches. An exception makes the row fail, with critical severity.
+    It runs in Arrow batches and gets values as Spark holds them. An exception makes the row fail, with critical severity.
     """
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
+    def run(rows):
+        import pyarrow as pa
+
         passed, errors = [], []
-        for record in frame.astype(object).where(frame.notna(), None).to_dict(orient="records"):
+        for record in rows.to_pylist():
             try:
                 passed.append(bool(function(record[field_name], record)))
                 errors.append(None)
             except Exception as problem:  # noqa: BLE001 - any failure of user code fails the row
                 passed.append(False)
                 errors.append(f"Rule execution error: {problem}")
-        return pd.DataFrame({"passed": passed, "error": pd.Series(errors, dtype=object)})
+        columns = [pa.array(passed, pa.bool_()), pa.array(errors, pa.string())]
+        return pa.StructArray.from_arrays(columns, ["passed", "error"])
 
-    udf = F.pandas_udf(run, "passed BOOLEAN, error STRING")
+    udf = F.arrow_udf(run, "passed BOOLEAN, error STRING")
     needed = list(dict.fromkeys([field_name, *columns]))
 
     def result(row: Row) -> Column:

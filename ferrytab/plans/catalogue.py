@@ -656,6 +656,34 @@ def _migration(name, spark, sf, **options):
     return report.to_frame(spark).drop("duration_ms")
 
 
+def _migrated_twice(spark, sf):
+    """A workspace in which one job has been rehearsed and then run."""
+    space, source = Workspace.temporary(spark), view(spark, sf, "policy_clean")
+    for options in ({"dry_run": True}, {"auto_promote": True}):
+        run_migration(space, source, POLICY_MAPPING, BATCH_SIZE, as_of="2026-01-01", job_id=JOB, **options)
+    return space
+
+
+@query
+def migration_retry(spark, sf):
+    space = _migrated_twice(spark, sf)
+    live = space.live("policies").agg(F.count(F.lit(1)).alias("live_rows"))
+    staged = space.staged(JOB, "policies").agg(F.count(F.lit(1)).alias("staged_rows"))
+    jobs = space.table("migration_jobs").agg(F.count(F.lit(1)).alias("jobs"))
+    # One row each.
+    return live.crossJoin(staged).crossJoin(jobs)
+
+
+@query
+def migration_progress(spark, sf):
+    space = _migrated_twice(spark, sf)
+    progress = pg.job_progress(space.table("migration_jobs"), space.table("migration_batches"), NOW)
+    return progress.select(
+        "job_id", "batches_total", "batches_completed", "batches_failed", "total_records", "processed_records",
+        "progress_pct",
+    )
+
+
 @query
 def migration_report(spark, sf):
     return _migration("policy_clean", spark, sf, auto_promote=True)

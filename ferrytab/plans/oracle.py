@@ -801,6 +801,17 @@ _VALID = _stage(3, "validate", "acceptable", "{}", "policy_clean", "count(*)", "
 _MISLOADED = f"SELECT count(*) FILTER (premium_amount >= 1000) AS bad, count(*) AS n FROM ({_CLEAN})"
 
 ORACLE |= {
+    "migration_retry": with_views(
+        ["policy_clean"],
+        "SELECT count(*) AS live_rows, count(*) AS staged_rows, CAST(1 AS BIGINT) AS jobs FROM policy_clean",
+    ),
+    "migration_progress": with_views(
+        ["policy_clean"],
+        f"SELECT '{JOB}' AS job_id, CAST(ceil(count(*) / {BATCH_SIZE}) AS BIGINT) AS batches_total, "
+        f"CAST(ceil(count(*) / {BATCH_SIZE}) AS BIGINT) AS batches_completed, CAST(0 AS BIGINT) AS batches_failed, "
+        "CAST(count(*) AS BIGINT) AS total_records, CAST(count(*) AS BIGINT) AS processed_records, "
+        "CAST(100 AS DOUBLE) AS progress_pct FROM policy_clean",
+    ),
     "migration_report": _stages(
         ["policy_clean"],
         [

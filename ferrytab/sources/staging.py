@@ -66,11 +66,45 @@ class Workspace:
         return sorted(row["tableName"] for row in names if row["tableName"].startswith(prefix))
 
     def append(self, df: DataFrame, table: str, partition: str = "job_id") -> None:
-        """Append rows to a table partitioned by job, making it first if need be."""
-        if self.exists(table):
-            df.select(*self.table(table).columns).write.insertInto(self.name(table))
-        else:
+        """Append rows to a table partitioned by job, making it first if need be.
+
+        Columns the table lacks are added to it, and columns the rows lack are null in them. A column
+        of another type than the table's is an error.
+        """
+        if not self.exists(table):
             df.write.partitionBy(partition).format("parquet").saveAsTable(self.name(table))
+            return
+        has = {field.name.lower(): field.dataType for field in self.table(table).schema}
+        gives = {field.name.lower(): field for field in df.schema}
+        for name, field in gives.items():
+            if name in has and has[name] != field.dataType:
+                kinds = f"{field.dataType.simpleString()} and {has[name].simpleString()}"
+                raise ValueError(f"Column {field.name} of {table} has two types: {kinds}")
+        if more := [field for name, field in gives.items() if name not in has]:
+            columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in more)
+            self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({columns})")
+        wanted = self.table(table).schema
+        rows = [
+            (F.col(f"`{f.name}`") if f.name.lower() in gives else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in wanted
+        ]
+        df.select(*rows).write.insertInto(self.name(table))
+
+    def drop_job(self, table: str, job_id: str) -> None:
+        """Remove a job's partition from a table, if both exist."""
+        if self.exists(table):
+            value = job_id.replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (job_id = '{value}')")
+
+    def forget(self, job_id: str, entity: str) -> None:
+        """Remove what an earlier run of a job staged and recorded, so that it may run again.
+
+        Archives and audit events stay.
+        """
+        for table in self.tables(f"staged__{entity}__".lower()):
+            self.drop_job(table, job_id)
+        for table in ("migration_batches", "lineage_records", "reconciliation_results", "migration_jobs"):
+            self.drop_job(table, job_id)
 
     # -- staging -------------------------------------------------------------------------------
 
@@ -104,8 +138,7 @@ class Workspace:
                 target = table.replace("staged__", "archive__", 1)
                 self.append(mine, target)
                 kept = self.table(target).where(F.col("job_id") == job_id).count()
-            partition = job_id.replace("\\", "\\\\").replace("'", "\\'")
-            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (job_id = '{partition}')")
+            self.drop_job(table, job_id)
             removed.append((table, rows, kept))
         return self.spark.createDataFrame(removed, "staged_table STRING, rows_removed BIGINT, rows_archived BIGINT")
 
@@ -145,6 +178,7 @@ class Workspace:
         else:
             good.write.mode("overwrite").format("parquet").saveAsTable(self.name(table))
             loaded, failed = self.table(table).count(), 0
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(errors)}")  # those of an earlier load
             if problems:
                 df.where(bad).write.mode("overwrite").format("parquet").saveAsTable(self.name(errors))
                 failed = self.table(errors).count()
@@ -153,9 +187,13 @@ class Workspace:
             "entity STRING, slot STRING, dry_run BOOLEAN, total_loaded BIGINT, total_errors BIGINT",
         )
 
-    def load_errors(self, entity: str, slot: str = GREEN) -> DataFrame:
-        """Up to 100 rows that were not loaded; the whole list is in the table ``<entity>__<slot>__errors``."""
-        return self.table(f"{_slot(entity, slot)}__errors").limit(SHOWN_ERRORS)
+    def load_errors(self, entity: str, slot: str = GREEN, shown: int = SHOWN_ERRORS) -> DataFrame:
+        """Up to ``shown`` rows that the last load left out; none if it had no errors.
+
+        The whole list is in the table ``<entity>__<slot>__errors``.
+        """
+        errors = f"{_slot(entity, slot)}__errors"
+        return self.table(errors).limit(shown) if self.exists(errors) else self.loaded(entity, slot).limit(0)
 
     def loaded(self, entity: str, slot: str = GREEN) -> DataFrame:
         return self.table(_slot(entity, slot))
@@ -220,13 +258,18 @@ class Workspace:
         )
 
     def emergency_swap(self, entity: str) -> DataFrame:
-        """After a promotion: show the blue slot again. Gives a one-row report."""
+        """After a promotion: show the slot that is not live again. Gives a one-row report; writes an audit event."""
+        live = self.live_slot(entity)
+        slot = _other(live) if live else None
         try:
-            self.promote(entity, BLUE)
-            row = (True, "swapped_to_blue", None)
+            if slot is None:
+                raise ValueError(f"{entity} has no live slot")
+            self.promote(entity, slot)
+            row = (True, f"swapped_to_{slot}", slot, None)
         except Exception as problem:  # noqa: BLE001 - reported
-            row = (False, None, str(problem))
-        return self.spark.createDataFrame([row], "success BOOLEAN, action STRING, error STRING")
+            row = (False, None, slot, str(problem))
+        self.audit("emergency_swap", "", row[1] or "failed", entity, details=row[3])
+        return self.spark.createDataFrame([row], "success BOOLEAN, action STRING, slot STRING, error STRING")
 
     # -- metadata ------------------------------------------------------------------------------
 

@@ -156,3 +156,43 @@ def test_failures(space, policies):
 def test_missing_key_is_a_failed_job(space, policies):
     report = migrate(space, policies.drop("policy_id"))
     assert report.status == "failed" and report.stages == []
+
+
+def test_a_job_may_run_again(space, policies):
+    first = migrate(space, policies, dry_run=True, job_id="AGAIN")
+    again = migrate(space, policies, auto_promote=True, job_id="AGAIN")
+    assert first.error is None and again.error is None
+    n = policies.count()
+    assert [s.records for s in again.stages if s.name in ("extract", "load")] == [n, n]
+    assert space.live("policies").count() == n
+    batches = space.table("migration_batches").where("job_id = 'AGAIN'").collect()
+    assert {b["status"] for b in batches} == {"completed"}
+    assert all(b["extract_duration_ms"] is not None for b in batches)
+    assert sum(b["record_count"] for b in batches) == n
+
+
+def test_append_widens_and_refuses_other_types(spark, space):
+    space.append(spark.sql("SELECT 1 AS a, 'x' AS job_id"), "wide")
+    space.append(spark.sql("SELECT 2 AS a, 'w' AS b, 'y' AS job_id"), "wide")
+    space.append(spark.sql("SELECT 'only' AS b, 'z' AS job_id"), "wide")
+    rows = {r["job_id"]: (r["a"], r["b"]) for r in space.table("wide").collect()}
+    assert rows == {"x": (1, None), "y": (2, "w"), "z": (None, "only")}
+    with pytest.raises(ValueError, match="two types"):
+        space.append(spark.sql("SELECT 'text' AS a, 'x' AS job_id"), "wide")
+
+
+def test_emergency_swap_goes_both_ways(spark, space):
+    space.load(spark.range(3).toDF("k"), "swap", BLUE)
+    space.promote("swap", BLUE)
+    space.load(spark.range(5).toDF("k"), "swap", GREEN)
+    space.promote("swap", GREEN)
+    assert space.emergency_swap("swap").first()["slot"] == BLUE and space.live("swap").count() == 3
+    assert space.emergency_swap("swap").first()["slot"] == GREEN and space.live("swap").count() == 5
+
+
+def test_an_earlier_loads_errors_are_gone(spark, space):
+    rows = spark.sql("SELECT * FROM VALUES ('a', '1'), ('b', 'x') AS t(k, v)")
+    space.load(rows, "stale", GREEN, target=[TargetField("v", "int")])
+    assert space.load_errors("stale").count() == 1
+    space.load(rows, "stale", GREEN)
+    assert space.load_errors("stale").count() == 0

@@ -161,3 +161,22 @@ def test_defaults_take_the_column_type(spark):
     mapped = map_entity(rows, mapping)
     assert mapped.dtypes == [("amount", "double"), ("name", "string"), ("n", "int")]
     assert [tuple(r) for r in mapped.collect()] == [(2.0, "a", 1), (1.5, "-", 7), (1.5, "b", 7)]
+
+
+def test_python_functions_see_the_values_spark_holds(spark):
+    from ferrytab.operators.rules import python_rule, validation_failures
+
+    registry = TransformRegistry()
+    registry.register_python("shown", lambda v: repr(v))
+    rows = spark.sql(
+        "SELECT * FROM VALUES (1, 9007199254740993L, 1.10BD, DATE'2026-01-02', true), (2, NULL, NULL, NULL, NULL) "
+        "AS t(k, n, d, day, flag)"
+    )
+    for parts in (1, 2):
+        got = rows.repartition(parts).select("k", *[registry.apply("shown", F.col(c)).alias(c) for c in ("n", "d", "day", "flag")])
+        assert {r["k"]: tuple(r)[1:] for r in got.collect()} == {
+            1: ("9007199254740993", "Decimal('1.10')", "datetime.date(2026, 1, 2)", "True"),
+            2: ("None",) * 4,
+        }
+    rule = python_rule("exact", "n", lambda v, row: v in (None, 9007199254740993), ["d"])
+    assert validation_failures(rows, [rule]).count() == 0
