@@ -101,3 +101,41 @@ def op10_warc(spark, sf):
     return warc.read_archives(archives, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+ORACLE["op5_top_products"] = """
+WITH v AS (
+    SELECT DISTINCT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLE["op6_passages"] = r"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS k
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w)
+), late AS (
+    SELECT doc_id, i FROM (
+        SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM windows
+    ) WHERE r > 1
+), gone AS (
+    SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM late)
+), words AS (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS j FROM w
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS text, count(*) AS n
+    FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
