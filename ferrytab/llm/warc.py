@@ -45,13 +45,12 @@ def train_dictionary(pages: DataFrame, size: int = 32_768) -> bytes:
     """A dictionary from the ``SAMPLE_ROWS`` pages that come first by a hash; empty if they are too few to train on."""
     import zstandard
 
-    rows = (
-        pages.select(F.expr(f"substring(html, 1, {SAMPLE_BYTES // SAMPLE_ROWS})").alias("head"), "page_id")
-        .where("length(head) > 0")
-        .orderBy(F.xxhash64("page_id"), "page_id", "head")
-        .limit(SAMPLE_ROWS)
-        .collect()
-    )
+    # Ids alone are ordered, so that a task sends the driver a few kilobytes; at most SAMPLE_ROWS of them are broadcast.
+    some = pages.where("length(html) > 0 and page_id is not null").select("page_id")
+    chosen = some.orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_ROWS).distinct()
+    head = F.expr(f"substring(html, 1, {SAMPLE_BYTES // SAMPLE_ROWS})")
+    heads = pages.where("length(html) > 0").join(F.broadcast(chosen), "page_id").groupBy("page_id").agg(F.min(head).alias("head"))
+    rows = sorted(heads.collect())
     samples = [row["head"].encode() for row in rows]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes() if len(samples) >= 8 else b""
