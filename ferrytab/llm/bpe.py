@@ -9,8 +9,8 @@ The vocabulary is read once on the driver and broadcast; its size is that of the
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Callable
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -21,8 +21,12 @@ from xxhash import xxh3_128_intdigest
 #: Code points with the Unicode property White_Space. Fixed values.
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
+#: Letters, and punctuation without the apostrophe, in character classes: they are so in every Unicode version.
+LATIN = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af"
+MARKS = r"!-&(-/:-@\[-`{-~"
+
 #: Chunks of text that a task process remembers, twice over: those of the last round and those of this one.
-CACHED = 1 << 18
+CACHED = 1 << 19
 
 
 def read_ranks(spark: SparkSession, path: str) -> list[bytes]:
@@ -49,8 +53,8 @@ class PerfectHash:
     def __init__(self, keys: list[bytes]):
         self.n = n = len(keys)
         self.n_buckets = max(1, n // 4)
-        self.displace = np.zeros(self.n_buckets, np.int64)
-        self.value = np.zeros(n, np.int32)
+        self.displace = [0] * self.n_buckets
+        self.value = [0] * n
         buckets: list[list[tuple[int, int, int]]] = [[] for _ in range(self.n_buckets)]
         for i, key in enumerate(keys):
             a, b, c = self._hashes(key)
@@ -90,7 +94,7 @@ class PerfectHash:
     def slot(self, key: bytes) -> int:
         """Place of a key; of a stranger, the place of some key."""
         a, b, c = self._hashes(key)
-        d = int(self.displace[a])
+        d = self.displace[a]
         return -d - 1 if d < 0 else self._place(b, c, d)
 
 
@@ -121,63 +125,86 @@ class Encoder:
 
         self.tokens, self.index, self.newer = tokens, index, newer
         self.fine = regex.compile(pattern)
-        # White space is divided as by the tokenizer's pattern; a chunk between it is divided by that pattern later.
-        self.coarse = re.compile(rf" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.before: dict[str, tuple[int, ...]] = {}
-        self.rank = lru_cache(CACHED)(self._rank)
-        self.piece = lru_cache(CACHED)(self._piece)
-        self.pairs = [self._rank(bytes([a, b])) for a in range(256) for b in range(256)]
+        # White space is divided as by the tokenizer's pattern. Latin letters up to a space or to punctuation other than
+        # an apostrophe are one pre-token; any other chunk between white space is divided by that pattern later.
+        self.plain = re.compile(rf" ?[{LATIN}]+|[{MARKS}]+")
+        self.coarse = re.compile(
+            rf" ?[{LATIN}]++(?=[{MARKS}{SPACES}]|\Z)| ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
+        )
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.single = [self._rank(bytes([b])) for b in range(256)]
+        self.pairs = self._pairs()
 
     def _rank(self, key: bytes) -> int:
         """Id of a token, or -1: the hash's place is right only if it holds that token."""
-        i = int(self.index.value[self.index.slot(key)])
+        i = self.index.value[self.index.slot(key)]
         return i if self.tokens[i] == key else -1
 
-    def _merged(self, piece: bytes) -> tuple[int, ...]:
+    def _pairs(self) -> list[dict[int, int]]:
+        """For each id the ids that can follow it with what the two make together: every way to cut a token in two."""
+        ids = {token: i for i, token in enumerate(self.tokens)}
+        pairs: list[dict[int, int]] = [{} for _ in self.tokens]
+        for token, i in ids.items():
+            for k in range(1, len(token)):
+                a, b = ids.get(token[:k]), ids.get(token[k:])
+                if a is not None and b is not None:
+                    pairs[a][b] = i
+        return pairs
+
+    def _merged(self, piece: bytes) -> list[int]:
         """Lowest rank first, leftmost among equals, over a linked list of parts.
 
-        A part is ``piece[i:end[i]]``, so ``end[i]`` is its right neighbour; a part that has been merged
-        into its left neighbour has the end 0. A heap entry packs rank, part and the end of the pair.
+        Part ``i`` begins at byte ``i`` and holds the id ``part[i]``, or -1 once it has been merged into
+        its left neighbour; ``after`` and ``before`` link the parts, and ``makes[i]`` is the id that part ``i``
+        makes with the next, or -1. A heap entry packs such an id with its place, and is stale if that place
+        makes another id by now.
         """
-        n, rank, pairs = len(piece), self.rank, self.pairs
+        n, pairs, pop, push = len(piece), self.pairs, heappop, heappush
+        part = [self.single[b] for b in piece]
+        makes = [pairs[a].get(b, -1) for a, b in zip(part, part[1:])]
         shift = n.bit_length()
         low = (1 << shift) - 1
-        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r << shift | i) << shift | i + 2 for i in range(n - 1) if (r := pairs[piece[i] << 8 | piece[i + 1]]) >= 0]
+        heap = [r << shift | i for i, r in enumerate(makes) if r >= 0]
         heapify(heap)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        makes.append(-1)
         while heap:
-            entry = heappop(heap)
-            stop, i = entry & low, entry >> shift & low
-            right = end[i]
-            if right <= i or right >= n or end[right] != stop:
-                continue  # one of the two has been merged meanwhile
-            end[right], end[i] = 0, stop
+            entry = pop(heap)
+            i, made = entry & low, entry >> shift
+            if makes[i] != made:
+                continue
+            right = after[i]
+            after[i] = stop = after[right]
+            part[i], part[right], makes[right] = made, -1, -1
             if stop < n:
                 before[stop] = i
-                if (r := rank(piece[i : end[stop]])) >= 0:
-                    heappush(heap, (r << shift | i) << shift | end[stop])
+                makes[i] = r = pairs[made].get(part[stop], -1)
+                if r >= 0:
+                    push(heap, r << shift | i)
+            else:
+                makes[i] = -1
             left = before[i]
-            if left >= 0 and (r := rank(piece[left:stop])) >= 0:
-                heappush(heap, (r << shift | left) << shift | stop)
-        ids, i = [], 0
-        while i < n:
-            ids.append(rank(piece[i : end[i]]))
-            i = end[i]
-        return tuple(ids)
-
-    def _piece(self, piece: bytes) -> tuple[int, ...]:
-        whole = self.rank(piece)
-        return (whole,) if whole >= 0 else self._merged(piece)
-
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
+            if left >= 0:
+                makes[left] = r = pairs[part[left]].get(made, -1)
+                if r >= 0:
+                    push(heap, r << shift | left)
+        return [i for i in part if i >= 0]
+
+    def _piece(self, piece: bytes) -> bytes:
+        whole = self._rank(piece)
+        return array("i", (whole,) if whole >= 0 else self._merged(piece)).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        if self.plain.fullmatch(chunk):
+            return self._piece(chunk.encode())
         seen = chunk if chunk.isascii() else chunk.translate(self.newer)
-        parts = [chunk[m.start() : m.end()].encode() for m in self.fine.finditer(seen)]
-        if len(parts) == 1:
-            return self.piece(parts[0]) if len(parts[0]) <= 64 else self._piece(parts[0])
-        return tuple([i for p in parts for i in (self.piece(p) if len(p) <= 64 else self._piece(p))])
+        return b"".join([self._piece(chunk[m.start() : m.end()].encode()) for m in self.fine.finditer(seen)])
 
-    def _remembered(self, chunk: str) -> tuple[int, ...]:
+    def _remembered(self, chunk: str) -> bytes:
+        ids = self.known.get(chunk)
+        if ids is not None:
+            return ids
         ids = self.before.get(chunk)
         if ids is None:
             ids = self._chunk(chunk)
@@ -187,16 +214,13 @@ class Encoder:
             self.known[chunk] = ids
         return ids
 
-    def encode(self, text: str) -> np.ndarray:
-        ids: list[int] = []
-        add, get = ids.extend, self.known.get
-        for chunk in self.coarse.findall(text):
-            found = get(chunk)
-            if found is None:
-                found = self._remembered(chunk)
-                get = self.known.get
-            add(found)
-        return np.array(ids, np.int32)
+    def encode(self, text: str) -> bytes:
+        """Ids as 32-bit integers in the machine's byte order."""
+        chunks = self.coarse.findall(text)
+        found = list(map(self.known.get, chunks))
+        if None in found:
+            found = [self._remembered(c) if ids is None else ids for c, ids in zip(chunks, found)]
+        return b"".join(found)
 
 
 class ByteBpe:
@@ -217,6 +241,10 @@ class ByteBpe:
         """Ids of a text as ``array<int>``."""
         return _encoding(self._shared, self._pattern)(text)
 
+    def round_trip(self, text: Column) -> Column:
+        """``ids`` of a text and the bytes ``decoded`` from them, in one pass through Python."""
+        return _round_trip(self._shared, self._pattern)(text)
+
     def decode(self, ids: Column) -> Column:
         """The bytes that ids stand for."""
         return _decoding(self._shared)(ids)
@@ -233,16 +261,33 @@ def _encoder(shared, pattern: str) -> Encoder:
     return _ENCODERS[id(shared)][1]
 
 
+def _ids(texts, shared, pattern: str):
+    """Arrow list array of the ids of an Arrow array of texts."""
+    import pyarrow as pa
+
+    encoder = _encoder(shared, pattern)
+    each = [encoder.encode(t) if t else b"" for t in (x.as_py() for x in texts)]
+    ends = np.cumsum([0, *(len(ids) // 4 for ids in each)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(each), np.int32)))
+
+
+def _bytes(ids, shared):
+    """Arrow binary array of the bytes that an Arrow list array of ids stands for."""
+    import pyarrow as pa
+
+    tokens = shared.value[0]
+    if ids.null_count:
+        return pa.array([b"".join([tokens[i] for i in x.as_py() or ()]) for x in ids], pa.binary())
+    flat = ids.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum([0, *ids.value_lengths().to_numpy(zero_copy_only=False)])
+    parts = [b"".join(map(tokens.__getitem__, flat[a:b].tolist())) for a, b in zip(ends, ends[1:])]
+    return pa.array(parts, pa.binary())
+
+
 def _encoding(shared, pattern: str) -> Callable[[Column], Column]:
     @F.arrow_udf("array<int>")
     def encode(texts):
-        import pyarrow as pa
-
-        encoder = _encoder(shared, pattern)
-        each = [encoder.encode(t) if t else np.empty(0, np.int32) for t in (x.as_py() for x in texts)]
-        ends = np.cumsum([0, *map(len, each)], dtype=np.int32)
-        values = np.concatenate(each) if each else np.empty(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+        return _ids(texts, shared, pattern)
 
     return encode
 
@@ -250,23 +295,25 @@ def _encoding(shared, pattern: str) -> Callable[[Column], Column]:
 def _decoding(shared) -> Callable[[Column], Column]:
     @F.arrow_udf("binary")
     def decode(ids):
+        return _bytes(ids, shared)
+
+    return decode
+
+
+def _round_trip(shared, pattern: str) -> Callable[[Column], Column]:
+    @F.arrow_udf("ids array<int>, decoded binary")
+    def round_trip(texts):
         import pyarrow as pa
 
-        tokens = shared.value[0]
-        flat = ids.flatten().to_numpy(zero_copy_only=False) if ids.null_count == 0 else None
-        if flat is None:
-            return pa.array([b"".join([tokens[i] for i in x.as_py() or ()]) for x in ids], pa.binary())
-        ends = np.cumsum([0, *(len(x) for x in ids)])
-        parts = [b"".join([tokens[i] for i in flat[a:b].tolist()]) for a, b in zip(ends, ends[1:])]
-        return pa.array(parts, pa.binary())
+        ids = _ids(texts, shared, pattern)
+        return pa.StructArray.from_arrays([ids, _bytes(ids, shared)], names=["ids", "decoded"])
 
-    return decode
+    return round_trip
 
 
 def encode_digests(docs: DataFrame, bpe: ByteBpe) -> DataFrame:
     """Per document: number of ids, digest of the ids, digest of the bytes decoded from them."""
-    encoded = docs.select("doc_id", bpe.encode(F.col("text")).alias("ids"))
-    both = encoded.withColumn("decoded", bpe.decode(F.col("ids")))
+    both = docs.select("doc_id", bpe.round_trip(F.col("text")).alias("both")).select("doc_id", "both.*")
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
