@@ -214,13 +214,12 @@ class Encoder:
             self.known[chunk] = ids
         return ids
 
-    def encode(self, text: str) -> bytes:
-        """Ids as 32-bit integers in the machine's byte order."""
+    def encode(self, text: str) -> np.ndarray:
         chunks = self.coarse.findall(text)
         found = list(map(self.known.get, chunks))
         if None in found:
             found = [self._remembered(c) if ids is None else ids for c, ids in zip(chunks, found)]
-        return b"".join(found)
+        return np.frombuffer(b"".join(found), np.int32)
 
 
 class ByteBpe:
@@ -266,9 +265,9 @@ def _ids(texts, shared, pattern: str):
     import pyarrow as pa
 
     encoder = _encoder(shared, pattern)
-    each = [encoder.encode(t) if t else b"" for t in (x.as_py() for x in texts)]
-    ends = np.cumsum([0, *(len(ids) // 4 for ids in each)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(each), np.int32)))
+    each = [encoder.encode(x.as_py() or "") for x in texts]
+    ends = np.cumsum([0, *map(len, each)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(each or [np.empty(0, np.int32)])))
 
 
 def _bytes(ids, shared):
