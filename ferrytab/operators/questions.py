@@ -8,7 +8,6 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrytab.functions.skew import salted_lookup
 from ferrytab.operators.lineage import impacts
 
 # Intents in the order they are tried, with the phrases that give them.
@@ -33,9 +32,6 @@ KNOWN_TABLES = ("policies", "claims", "premiums", "coverage", "agents")
 COLUMN_ENTRIES, RECORD_ENTRIES = 10, 20
 KEPT_MESSAGES = 20
 
-# So many distinct lookups may be broadcast to thin out the lineage before it is shuffled.
-MAX_BROADCAST_LOOKUPS = 100_000
-
 _LOOKUP = ["lookup", "_a", "_b"]
 _LOWERED = "_lowered"
 
@@ -121,41 +117,53 @@ def _with_lookup(questions: DataFrame, text: str) -> DataFrame:
     )
 
 
-def _entries(lineage: DataFrame, asked: DataFrame) -> DataFrame:
+def _entries(lineage: DataFrame, routed: DataFrame, by_column: int, by_record: int) -> DataFrame:
     """The first entries of every lookup key.
 
-    One column has an entry per record, so the entries of a key are cut to the first few in each
-    task before they are shuffled.
+    There are as many column lookups as columns, each with an entry per record: they are cut to the
+    first few in each task before they are shuffled. Record lookups are as many as records, so only
+    those that a question asks for go on.
     """
     entry = ("record_id", "source_table", "source_column", "target_table", "target_column", "transformation")
 
     def lookup(kind: str, a: Column, b: Column) -> Column:
         return F.struct(F.lit(kind).alias("lookup"), a.alias("_a"), b.alias("_b"))
 
-    candidates = lineage.select(
+    def first(candidates: DataFrame, keep: int) -> DataFrame:
+        order = Window.partitionBy(*_LOOKUP).orderBy(*entry)
+        return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
+
+    columns = lineage.select(
         *entry,
         F.inline(
             F.array(
                 lookup("backward", F.col("target_table"), F.col("target_column")),
                 lookup("forward", F.col("source_table"), F.col("source_column")),
-                lookup("record", F.col("record_id"), F.lit("")),
             )
         ),
     )
-    if asked.limit(MAX_BROADCAST_LOOKUPS + 1).count() <= MAX_BROADCAST_LOOKUPS:
-        candidates = candidates.join(F.broadcast(asked), _LOOKUP, "left_semi")
-    order = Window.partitionBy(*_LOOKUP).orderBy(*entry)
-    first = candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= RECORD_ENTRIES)
-    return first.where((F.col("lookup") == "record") | (F.col("rank") <= COLUMN_ENTRIES))
+    asked = routed.where(F.col("lookup") == "record").select(F.col("_a").alias("record_id")).distinct()
+    records = lineage.select(*entry).join(asked, "record_id", "left_semi")
+    records = records.select(*entry, F.inline(F.array(lookup("record", F.col("record_id"), F.lit("")))))
+    return first(columns, by_column).unionByName(first(records, by_record))
 
 
 def question_context(
-    questions: DataFrame, lineage: DataFrame, question_id: str = "question_id", text: str = "question"
+    questions: DataFrame,
+    lineage: DataFrame,
+    question_id: str = "question_id",
+    text: str = "question",
+    by_column: int = COLUMN_ENTRIES,
+    by_record: int = RECORD_ENTRIES,
 ) -> DataFrame:
-    """The lineage each question asks for: up to 10 entries by column, up to 20 by record, or one impact row."""
-    routed = _with_lookup(questions, text)
-    asked = routed.select(*_LOOKUP).distinct()
-    entries = _entries(lineage, asked).withColumns(
+    """The lineage each question asks for: up to ``by_column`` entries by column, up to ``by_record`` by
+    record, or one impact row.
+
+    Questions that ask for nothing leave before the join. Many questions with one lookup make a
+    large partition on the left side only, which AQE splits.
+    """
+    routed = _with_lookup(questions, text).where(F.col("lookup") != "none")
+    entries = _entries(lineage, routed, by_column, by_record).withColumns(
         {"affected_tables": F.lit(None).cast("bigint"), "affected_columns": F.lit(None).cast("bigint")}
     )
     effects = impacts(lineage).select(
@@ -169,7 +177,7 @@ def question_context(
         "affected_columns",
     )
     lookup = entries.unionByName(effects, allowMissingColumns=True)
-    joined = salted_lookup(routed.select(question_id, "intent", *_LOOKUP), lookup, _LOOKUP, F.col(question_id))
+    joined = routed.select(question_id, "intent", *_LOOKUP).join(lookup, _LOOKUP, "left")
     is_impact = F.col("lookup") == "impact"
 
     def or_none_found(name: str, value: Column) -> Column:

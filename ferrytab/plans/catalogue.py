@@ -60,8 +60,7 @@ def extract_page(spark, sf):
 
 @query
 def extract_page_deep(spark, sf):
-    landed = ex.land_ordered(view(spark, sf, "claims_master"), ["claim_id"])
-    return ex.page_of(landed, 3, batch_size=BATCH_SIZE)
+    return ex.extract_page(view(spark, sf, "claims_master"), "claim_id", 3, batch_size=BATCH_SIZE)
 
 
 @query

@@ -20,9 +20,6 @@ ROW_INDEX = "row_index"
 BATCH = "batch_number"
 DEFAULT_BATCH_SIZE = 10_000
 
-# A page that ends within this many rows is read by a bounded top-n; deeper pages use row numbers.
-TOP_ROWS = 100_000
-
 # monotonically_increasing_id() keeps the position within a part in its lower 33 bits.
 _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
@@ -201,13 +198,12 @@ def extract_page(
     batch_size: int = DEFAULT_BATCH_SIZE,
     unique_key: bool = False,
 ) -> DataFrame:
-    """The rows of one batch. Use :func:`page_of` to read several pages of one landed table."""
-    chosen = _chosen(df, columns, where)
-    start = batch_number * batch_size
-    if start + batch_size <= TOP_ROWS:
-        order = [key, *(c for c in chosen.columns if c != key)]
-        return chosen.orderBy(*order).offset(start).limit(batch_size)
-    return page_of(land_ordered(chosen, [key], unique_key), batch_number, batch_size)
+    """The rows of one batch, at any depth.
+
+    The ordered rows are written once for this page. Use :func:`land_ordered` and :func:`page_of` to
+    read several pages of one landed table.
+    """
+    return page_of(land_ordered(_chosen(df, columns, where), [key], unique_key), batch_number, batch_size)
 
 
 def page_of(landed: DataFrame, batch_number: int, batch_size: int = DEFAULT_BATCH_SIZE) -> DataFrame:

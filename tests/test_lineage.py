@@ -129,7 +129,7 @@ def test_entities(spark, question, expected):
     assert tuple(row[n] for n in names) == expected
 
 
-def test_context(spark, monkeypatch):
+def test_context(spark):
     rows = [(f"POL-{i:06d}", str(i), "A") for i in range(40)] + [("POL-000007", "1", "A")] * 30
     lineage = ln.build_lineage(spark.createDataFrame(rows, FIELDS), MAPPING, "J1")
     asked = [
@@ -152,6 +152,7 @@ def test_context(spark, monkeypatch):
     assert [(r["affected_tables"], r["affected_columns"]) for r in of(4)] == [(1, 1)]
     assert [(r["affected_tables"], r["affected_columns"]) for r in of(5)] == [(0, 0)]
     assert of(6) == [] and len(of(7)) == 3 and len(of(299)) == 10
-    monkeypatch.setattr(qs, "MAX_BROADCAST_LOOKUPS", 0)
-    again = qs.question_context(questions, lineage).collect()
-    assert sorted(map(str, again)) == sorted(map(str, found))
+    fewer = qs.question_context(questions, lineage, by_column=3, by_record=5).collect()
+    limits = {"backward": 3, "forward": 3, "record": 5}
+    expected = [r for r in found if r["rank"] <= limits.get(r["lookup"], 1)]
+    assert sorted(map(str, fewer)) == sorted(map(str, expected))
