@@ -169,42 +169,68 @@ def documents(lineage: DataFrame) -> DataFrame:
     )
 
 
-def data_map(lineage: DataFrame, failures: DataFrame) -> DataFrame:
+def data_map(lineage: DataFrame, failures: DataFrame, job_id: str | None = None) -> DataFrame:
     """One row per job and record: its fields with their validation outcome, and the pass rate.
 
-    Entries of one field of a record collapse to one before they are collected, so a record that
+    A failure counts for the job in its ``job_id``; ``job_id`` names the job of failures without that
+    column. Entries of one field of a record collapse to one before they are collected, so a record that
     occurs many times costs no more than one that occurs once. ``entries`` keeps their number.
+    Failures go through the same two shuffles as rows of their own, so there is no join.
     """
+    if "job_id" not in failures.columns:
+        if job_id is None:
+            raise ValueError("The failures have no job_id column, and no job is named for them")
+        failures = failures.withColumn("job_id", F.lit(job_id))
     values = F.struct(*_ID_PARTS, "source_value", "target_value", "transformation", "etl_commit_id")
-    # One short key for the six parts: rows are sorted by it, and record ids share long prefixes.
-    identity = F.md5(F.concat_ws("\x00", *[F.coalesce(part, F.lit("")) for part in _ID_PARTS]))
-    fields = (
-        lineage.groupBy(identity.alias("_identity"))
-        .agg(F.min(values).alias("_v"), F.count(F.lit(1)).alias("_n"))
-        .select(*[F.col(f"_v.{part}").alias(part) for part in _ID_PARTS], "_v", "_n")
+    broken = F.struct("job_id", "record_id", F.col("field_name").alias("target_column"))
+    rows = lineage.select(values.alias("_v")).withColumn("_failed", F.lit(False))
+    both = rows.unionByName(
+        failures.select(
+            F.struct(
+                *[
+                    (broken[f.name] if f.name in ("job_id", "record_id", "target_column") else F.lit(None))
+                    .cast(f.dataType)
+                    .alias(f.name)
+                    for f in rows.schema["_v"].dataType.fields
+                ]
+            ).alias("_v"),
+            F.lit(True).alias("_failed"),
+        )
     )
-    failed = (
-        failures.groupBy("record_id", F.col("field_name").alias("target_column"))
-        .agg(F.count(F.lit(1)).alias("_f"))
-        .drop("_f")
-        .withColumn("_failed", F.lit(True))
+    # One short key for the parts: rows are sorted by it, and record ids share long prefixes.
+    parts = [F.coalesce(F.col("_v")[part], F.lit("")) for part in _ID_PARTS]
+    identity = F.md5(F.concat_ws("\x00", F.col("_failed").cast("string"), *parts))
+    distinct = both.groupBy(identity.alias("_identity")).agg(
+        F.min("_v").alias("_v"), F.bool_and("_failed").alias("_failed"), F.count(F.lit(1)).alias("_n")
     )
-    checked = fields.join(failed, ["record_id", "target_column"], "left").withColumn(
-        "validation_passed", F.col("_failed").isNull()
+    collected = distinct.groupBy(F.col("_v.job_id").alias("job_id"), F.col("_v.record_id").alias("record_id")).agg(
+        F.collect_list(F.when(~F.col("_failed"), F.col("_v"))).alias("_entries"),
+        F.collect_list(F.when(F.col("_failed"), F.col("_v.target_column"))).alias("_broken"),
+        F.sum(F.when(~F.col("_failed"), F.col("_n"))).alias("entries"),
     )
-    entry = F.struct(
-        F.col("target_column").alias("field_name"),
-        "source_table",
-        "source_column",
-        F.col("_v.source_value").alias("source_value"),
-        F.col("_v.target_value").alias("transformed_value"),
-        F.col("_v.transformation").alias("transformation_applied"),
-        "validation_passed",
-        F.col("_v.etl_commit_id").alias("etl_commit_id"),
+
+    def field(entry: Column) -> Column:
+        return F.struct(
+            entry["target_column"].alias("field_name"),
+            entry["source_table"].alias("source_table"),
+            entry["source_column"].alias("source_column"),
+            entry["source_value"].alias("source_value"),
+            entry["target_value"].alias("transformed_value"),
+            entry["transformation"].alias("transformation_applied"),
+            (~F.coalesce(F.array_contains("_broken", entry["target_column"]), F.lit(False))).alias("validation_passed"),
+            entry["etl_commit_id"].alias("etl_commit_id"),
+        )
+
+    # Failures of records without lineage have no entries.
+    mapped = collected.where("entries is not null").select(
+        "job_id", "record_id", F.array_sort(F.transform("_entries", field)).alias("fields"), "entries"
     )
-    return checked.groupBy("job_id", "record_id").agg(
-        F.array_sort(F.collect_list(entry)).alias("fields"),
-        F.count(F.lit(1)).alias("total_fields"),
-        F.sum("_n").alias("entries"),
-        (F.count_if("validation_passed") / F.count(F.lit(1)) * 100).alias("validation_pass_rate"),
+    passed = F.size(F.filter("fields", lambda f: f["validation_passed"]))
+    return mapped.select(
+        "job_id",
+        "record_id",
+        "fields",
+        F.size("fields").cast("bigint").alias("total_fields"),
+        "entries",
+        (passed / F.size("fields") * 100).alias("validation_pass_rate"),
     )

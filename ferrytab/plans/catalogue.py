@@ -592,7 +592,7 @@ def lineage_filter(spark, sf):
 @query
 def lineage_map(spark, sf):
     failures = rl.validation_failures(_mapped(spark, sf), rl.standard_rules(AS_OF))
-    maps = ln.data_map(_lineage(spark, sf), failures)
+    maps = ln.data_map(_lineage(spark, sf), failures, JOB)
     failed = F.filter("fields", lambda f: ~f["validation_passed"])
     return maps.select(
         "job_id", "record_id", "total_fields", "entries", "validation_pass_rate",

@@ -77,7 +77,7 @@ def test_data_map_of_a_repeated_record(spark):
     rows = spark.createDataFrame(ROWS + [("POL-000001", "7", "B")] * 500, FIELDS)
     lineage = ln.build_lineage(rows, MAPPING, "J1")
     failures = spark.createDataFrame([("POL-000001", "status")] * 3, "record_id STRING, field_name STRING")
-    maps = {r["record_id"]: r for r in ln.data_map(lineage, failures).collect()}
+    maps = {r["record_id"]: r for r in ln.data_map(lineage, failures, "J1").collect()}
     busy = maps["POL-000001"]
     assert (busy["total_fields"], busy["entries"]) == (3, 1503)
     assert busy["validation_pass_rate"] == pytest.approx(200 / 3)
@@ -87,6 +87,24 @@ def test_data_map_of_a_repeated_record(spark):
     assert maps["POL-000002"]["validation_pass_rate"] == 100.0
 
 
+def test_data_map_keeps_jobs_apart(spark):
+    rows = spark.createDataFrame(ROWS, FIELDS)
+    lineage = ln.build_lineage(rows, MAPPING, "A").unionByName(ln.build_lineage(rows, MAPPING, "B"))
+    fields = "job_id STRING, record_id STRING, field_name STRING"
+    failures = spark.createDataFrame(
+        [("A", "POL-000001", "status"), ("B", "POL-000002", "status"), ("C", "POL-000001", "status"),
+         ("A", "unknown", "status"), ("A", None, None)], fields
+    )
+    maps = ln.data_map(lineage, failures)
+    rates = {(r["job_id"], r["record_id"]): r["validation_pass_rate"] for r in maps.collect()}
+    assert set(rates) == {(job, row[0].strip()) for job in "AB" for row in ROWS}
+    assert {k for k, v in rates.items() if v < 100} == {("A", "POL-000001"), ("B", "POL-000002")}
+    plan = ln.data_map(lineage, failures)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+    with pytest.raises(ValueError):
+        ln.data_map(lineage, failures.drop("job_id"))
+
+
 def test_values_are_not_computed_when_not_read(lineage, spark):
     plan = ln.statistics(ln.build_lineage(spark.createDataFrame(ROWS, FIELDS), MAPPING, "J1"))
     assert "RLIKE" not in plan._jdf.queryExecution().optimizedPlan().toString()
