@@ -15,10 +15,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrytab.llm.common import WordHashes, grams, landed, mixed
+from ferrytab.llm.common import WORD, WordHashes, grams, landed, mixed
 from ferrytab.llm.graph import components
 
 #: Words of a shingle; documents link if ``PERCENT`` of the union of their sets is common.
@@ -304,6 +304,10 @@ def _joined(cells: DataFrame, percent: int, size: int) -> DataFrame:
     return together.mapInArrow(join, "node long, alias long")
 
 
+def _alone(doc_id: Column, tag: Column) -> Column:
+    return F.xxhash64(doc_id, tag, F.lit("no words"))
+
+
 def placed_documents(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """(``doc_id``, ``tag``, ``n``, ``root``) of every row of ``docs``; ``tag`` is a hash of its text, ``root`` its component."""
     spark = docs.sparkSession
@@ -317,7 +321,7 @@ def placed_documents(docs: DataFrame, percent: int = PERCENT, size: int = SHINGL
     links = landed(_joined(cells.join(texts, "node"), percent, size), "jaccard-links")
     roots = components(links)
     # Documents without words have no node; a hash of their own keeps them apart in the join.
-    alone = F.xxhash64("doc_id", F.lit("no words"))
+    alone = _alone(F.col("doc_id"), F.col("tag"))
     named = sets.select("doc_id", "tag", "n", F.coalesce("node", alone).alias("node"))
     return named.join(roots, "node", "left").select("doc_id", "tag", "n", F.coalesce("root", "node").alias("root"))
 
@@ -343,15 +347,18 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
 def keep_one_of_each(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` that come first in their component, by doc_id (null last) and a hash of the text.
 
-    Documents without words stay. Of rows that repeat an id and a text one stays.
+    Documents without words stay. Of rows that repeat an id and a text one stays, the first by its other
+    columns. Of rows with one text only the first can stay, so they are cut to it in every task before
+    texts are shuffled: a group of copies sends one row per task.
     """
     last = F.lit((1 << 63) - 1)
-    key = F.coalesce(F.col("doc_id").cast("long"), last)
+    key, tag = F.coalesce(F.col("doc_id").cast("long"), last), F.xxhash64("text")
     placed = placed_documents(docs, percent, size)
-    first = placed.groupBy("root").agg(F.min(F.struct(key.alias("key"), "tag")).alias("first"))
-    first = first.select(F.col("first.key").alias("_key"), F.col("first.tag").alias("_tag"))
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    rows = docs.withColumns({"_key": key, "_tag": F.xxhash64("text")})
-    order = Window.partitionBy("_key", "_tag").orderBy(*(others or ["_key"]))
-    rows = rows.withColumn("_turn", F.row_number().over(order)).where("_turn = 1")
-    return rows.join(first, ["_key", "_tag"], "left_semi").select(*docs.columns)
+    first = placed.groupBy("root").agg(F.min(F.struct(key.alias("key"), "tag", "n")).alias("first")).select("first.*")
+    first = first.select(F.when(F.col("n") > 0, F.col("tag")).otherwise(_alone(F.col("key"), F.col("tag"))).alias("_own"))
+    own = F.when(F.col("text").rlike(WORD), tag).otherwise(_alone(key, tag))
+    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.struct(key, F.to_json(F.struct(*others)) if others else F.lit(""))
+    rows = docs.select(own.alias("_own"), order.alias("_order"), F.struct(*docs.columns).alias("_row"))
+    one = rows.groupBy("_own").agg(F.min_by("_row", "_order").alias("_row"))
+    return one.join(first, "_own", "left_semi").select("_row.*")

@@ -3,6 +3,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ferrytab.llm import jaccard
 from ferrytab.llm.queries import QUERIES
@@ -104,12 +105,22 @@ def test_nulls_ties_and_repeated_rows(frame):
 def test_one_of_each_group_stays(frame):
     text = " ".join(f"k{i}" for i in range(50))
     near = text.replace("k49", "other")
-    rows = [(4, near), (2, text), (2, text), (7, "something else"), (9, None), (10, ""), (None, text)]
+    rows = [(4, near), (2, text), (2, text), (7, "something else"), (9, None), (9, None), (9, ""), (10, " \n"), (None, text)]
+    rows += [(100 + i, text) for i in range(300)] + [(50, "Something else"), (6, near.upper())]
     kept = jaccard.keep_one_of_each(frame(rows), percent=80, size=5)
-    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 7, 9, 10]
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert found == sorted([(2, text), (7, "something else"), (9, None), (9, ""), (10, " \n")], key=str)
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_extra_columns_of_any_type_and_name_stay(frame):
+    docs = frame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)])
+    wide = docs.withColumns({c: F.create_map(F.lit("x"), "doc_id") for c in ("_own", "_row", "_order", "n", "root")})
+    kept = jaccard.keep_one_of_each(wide, percent=80, size=5)
+    assert kept.columns == wide.columns
+    assert sorted((r["doc_id"], r["root"]["x"]) for r in kept.collect()) == [(1, 1), (3, 3)]
+
+
 def test_query(session, sf_dir):
     rows = [tuple(r) for r in session.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, QUERIES["op8_jaccard"](session, sf_dir).collect()), key=str) == brute(rows)
