@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrytab.llm.common import WORD, WordHashes, grams, landed, mixed
@@ -25,6 +25,8 @@ from ferrytab.llm.graph import components
 SHINGLE, PERCENT = 4, 85
 #: Ratio of the sizes at which the number of buckets changes.
 STEP = 1.6
+#: Buckets beyond those needed, as a share of them: the more, the more chance matches of contents can be left out.
+EXTRA = 0.25
 #: Bits of the filter that tells bucket contents which may repeat. Its size is fixed; when full it lets more pass, no less.
 FILTER_BITS = 1 << 28
 #: Members and shingles of a region that one task joins; larger regions are cut into cells.
@@ -59,33 +61,37 @@ def _bounds(percent: int) -> list[int]:
     return ends
 
 
-def bucket_contents(shingle_set: np.ndarray, ends: list[int], percent: int) -> np.ndarray:
+def bucket_contents(shingle_set: np.ndarray, ends: list[int], percent: int) -> tuple[np.ndarray, int]:
     """Hashes of the contents of a set's buckets, in its size class and, if partners may be in it, in the next.
 
     Two linked sets of sizes below ``end`` differ in at most ``most`` shingles, so of more than
-    ``most`` buckets they share the content of one. There are some more, so that a shared one is not
+    ``most`` buckets they share the content of one. There are ``EXTRA`` more, so that shared ones are not
     empty unless a set has very many empty buckets; then its empty ones count too.
+
+    The number says how many of its contents a set may leave out: a linked set shares more than twice
+    as many with it, so when both leave out theirs a shared one is left.
     """
     n = len(shingle_set)
     if n <= equal_only(percent):
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), 0
     own = int(np.searchsorted(ends, n, side="right"))
     classes = [own] + [own + 1] * (n * 100 // percent >= ends[own])
     spread, value = mixed(shingle_set ^ np.uint64(0x5851F42D4C957F2D)), mixed(shingle_set + np.uint64(0x14057B7EF767814F))
-    out = []
+    out, common = [], []
     for k in classes:
         most = (100 - percent) * 2 * (ends[k] - 1) // (100 + percent)
-        count = most + 1 + 4 + most // 16
+        count = most + 1 + 4 + int(most * EXTRA)
         bucket = (spread % np.uint64(count)).astype(np.int64)
         content = np.zeros(count, np.uint64)
         np.add.at(content, bucket, value)
         full = np.zeros(count, bool)
         full[bucket] = True
-        if count - full.sum() >= count - most:
+        common.append(max(1, int(full.sum()) - most))
+        if full.sum() <= most:
             full[:] = True
         at = np.flatnonzero(full)
         out.append(mixed(content[at] + mixed(at.astype(np.uint64) * np.uint64(64) + np.uint64(k))))
-    return np.concatenate(out)
+    return np.concatenate(out), (min(common) - 1) // 2
 
 
 def _repeating(docs: DataFrame, percent: int, size: int) -> np.ndarray:
@@ -109,7 +115,7 @@ def _repeating(docs: DataFrame, percent: int, size: int) -> np.ndarray:
                     key = set_hash(found)
                     if key not in seen:  # copies count once
                         seen.add(key)
-                        parts.append(bucket_contents(found, ends, percent))
+                        parts.append(bucket_contents(found, ends, percent)[0])
                 contents, n = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(contents.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int8))], ["content", "n"]
@@ -128,7 +134,7 @@ def _repeating(docs: DataFrame, percent: int, size: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, shared, percent: int, size: int) -> DataFrame:
-    """Per document (``doc_id``, ``tag``, ``node``, ``n``, ``contents``, ``words``): hash and size of its set, and what may meet others.
+    """Per document (``doc_id``, ``tag``, ``node``, ``n``, ``contents``, ``spare``, ``words``): hash and size of its set, and what may meet others.
 
     ``words`` is the text of documents with such contents, once per set and lot.
     """
@@ -142,13 +148,13 @@ def _sets(docs: DataFrame, shared, percent: int, size: int) -> DataFrame:
             texts, ids, tags = (batch.column(i) for i in range(3))
             for at in range(0, batch.num_rows, 1000):
                 last, seen = min(at + 1000, batch.num_rows), set()
-                nodes, sizes, contents, kept = [], [], [], []
+                nodes, sizes, contents, spare, kept = [], [], [], [], []
                 for i in range(at, last):
                     text = texts[i].as_py()
                     found = shingles(text, hashes, size)
-                    key, own = set_hash(found), np.zeros(0, np.uint64)
+                    key, own, some = set_hash(found), np.zeros(0, np.uint64), 0
                     if key not in seen:
-                        own = bucket_contents(found, ends, percent)
+                        own, some = bucket_contents(found, ends, percent)
                         bit = own & np.uint64(FILTER_BITS - 1)
                         word = shared.value[(bit >> np.uint64(6)).astype(np.int64)]
                         own = own[(word >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)]
@@ -156,15 +162,16 @@ def _sets(docs: DataFrame, shared, percent: int, size: int) -> DataFrame:
                     nodes.append(key if len(found) else None)
                     sizes.append(len(found))
                     contents.append(own.view(np.int64))
+                    spare.append(some)
                     kept.append(text if len(own) else None)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(at, last - at), tags.slice(at, last - at), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                     pa.array(contents, pa.list_(pa.int64())), pa.array(kept, pa.binary())],
-                    ["doc_id", "tag", "node", "n", "contents", "words"],
+                     pa.array(contents, pa.list_(pa.int64())), pa.array(spare, pa.int32()), pa.array(kept, pa.binary())],
+                    ["doc_id", "tag", "node", "n", "contents", "spare", "words"],
                 )
 
     slim = docs.select(F.col("text").cast("binary"), F.col("doc_id").cast("long"), F.xxhash64("text").alias("tag"))
-    return slim.mapInArrow(scan, "doc_id long, tag long, node long, n long, contents array<long>, words binary")
+    return slim.mapInArrow(scan, "doc_id long, tag long, node long, n long, contents array<long>, spare int, words binary")
 
 
 class Members:
@@ -237,19 +244,24 @@ def region_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[i
 
 
 def _region_rows(sets: DataFrame) -> DataFrame:
-    """(``pivot``, ``node``): which regions a node is copied to, the pivot's own among them.
+    """(``pivot``, ``node``): which regions a node is copied to.
 
     The pivot of a bucket content is the node most of whose contents may repeat, the smallest of
     equals. Contents in a third of all documents cost one row per task here; the join may split them.
+    A node leaves out the pivots that lead fewest of its contents, as many contents as it may.
     """
-    uses = sets.where("size(contents) > 0").select("node", F.size("contents").alias("w"), F.explode("contents").alias("content"))
+    # Copies of one set have the same contents.
+    each = sets.where("size(contents) > 0").groupBy("node").agg(F.first("contents").alias("contents"), F.first("spare").alias("spare"))
+    uses = each.select("node", "spare", F.size("contents").alias("w"), F.explode("contents").alias("content"))
     lead = (
         uses.groupBy("content")
         .agg(F.min(F.struct(-F.col("w"), "node")).alias("lead"), F.min("node").alias("a"), F.max("node").alias("b"))
         .where("a <> b")
         .select("content", F.col("lead.node").alias("pivot"))
     )
-    return uses.join(lead, "content").groupBy("pivot", "node").agg(F.count("*").alias("shared")).select("pivot", "node")
+    shared = uses.join(lead, "content").groupBy("pivot", "node").agg(F.count("*").alias("shared"), F.first("spare").alias("spare"))
+    fewest = Window.partitionBy("node").orderBy("shared", "pivot").rowsBetween(Window.unboundedPreceding, 0)
+    return shared.withColumn("upto", F.sum("shared").over(fewest)).where("upto > spare").select("pivot", "node")
 
 
 def _cells(regions: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -260,7 +272,8 @@ def _cells(regions: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     weighed = regions.join(nodes, "node")
     load = F.greatest(F.count("*") / F.lit(REGION_ROWS), F.sum("n") / F.lit(REGION_SHINGLES))
-    chunks = weighed.groupBy("pivot").agg(F.when(load <= 1, 1).otherwise(F.ceil(load * 2)).cast("int").alias("k"))
+    chunks = weighed.groupBy("pivot").agg(F.count("*").alias("size"), F.when(load <= 1, 1).otherwise(F.ceil(load * 2)).cast("int").alias("k"))
+    chunks = chunks.where("size > 1").drop("size")
     placed = weighed.join(chunks, "pivot").withColumn("chunk", F.pmod(F.xxhash64("node", "pivot"), F.col("k")).cast("int"))
     pairs = F.when(F.col("k") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("k") - 1))
     out = placed.select("pivot", "node", "chunk", F.explode(pairs).alias("j"))

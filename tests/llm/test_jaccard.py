@@ -95,6 +95,20 @@ def test_large_regions_in_cells(frame, monkeypatch):
     assert found(frame(rows)) == brute(rows)
 
 
+def test_left_out_contents_never_part_linked_sets():
+    chance = np.random.default_rng(3)
+    for percent in (80, 85):
+        ends = jaccard._bounds(percent)
+        for n in (12, 40, 90, 300, 2_000):
+            for _ in range(20):
+                common = chance.integers(1, 1 << 62, n).astype(np.uint64)
+                more = n * 100 // percent - n  # so many may be in one of the sets only
+                cut = chance.integers(0, more + 1)
+                sides = np.split(chance.integers(1, 1 << 62, more).astype(np.uint64), [cut])
+                a, b = (jaccard.bucket_contents(np.unique(np.append(common, x)), ends, percent) for x in sides)
+                assert len(np.intersect1d(a[0], b[0])) > a[1] + b[1]
+
+
 def test_nulls_ties_and_repeated_rows(frame):
     text = "one two three four five six seven"
     rows = [(5, text), (3, text.upper()), (3, text), (9, None), (8, ""), (2, "one"), (4, "One"), (None, "nobody knows"), (None, None)]
