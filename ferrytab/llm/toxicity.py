@@ -7,12 +7,13 @@ that holds expressions likelier in the toxic class scores high, however rare eac
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferrytab.llm.common import landed, mixed
 
@@ -21,8 +22,10 @@ ORDER = 5
 #: Orders up to this one are counted over both classes together.
 SHARED = 2
 DISCOUNT = 0.75
-#: Slots of the tables that scoring looks up. With more grams than slots the most frequent stay, the others back off.
-GRAM_SLOTS, CONTEXT_SLOTS = 1 << 21, 1 << 20
+#: Characters of the texts that are read together, with the model's entries for their grams.
+CHUNK_CHARS = 1 << 23
+#: Tells the hash of a context from that of a gram of the same characters.
+CONTEXT = np.uint64(0x5851F42D4C957F2D)
 #: Labelled documents on which the weights of the final score are fitted.
 FIT_ROWS = 8_192
 #: What a word's score must pass to count as evidence.
@@ -35,10 +38,9 @@ Arrays = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 class ToxicModel(NamedTuple):
-    """Lookup tables (fingerprint, toxic, ordinary) of grams and contexts, and the weights of the document score."""
+    """Written rows (``key``, ``toxic``, ``ordinary``) of all grams and contexts, and the weights of the document score."""
 
-    grams: Arrays
-    contexts: Arrays
+    entries: DataFrame
     floor: float
     weights: np.ndarray
 
@@ -101,7 +103,7 @@ def _cleaner():
 
 
 def gram_tables(words: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Of word counts: (``gram``, ``toxic``, ``ordinary``, ``n``), the same of contexts, and the number of characters.
+    """Of word counts: (``gram``, ``toxic``, ``ordinary``), the same of contexts, and the number of characters.
 
     The first table holds a gram's discounted share of its context, the second the weight of the next
     lower order. The longest grams, and those at a word's start, count occurrences; lower orders count
@@ -148,9 +150,8 @@ def gram_tables(words: DataFrame) -> tuple[DataFrame, DataFrame, int]:
             for c in ("toxic", "ordinary")
         ]
         joined = level.withColumn("context", F.expr(f"substring(gram, 1, {size - 1})")).join(by_context, "context")
-        shares.append(joined.select("gram", *share, (F.col("toxic") + F.col("ordinary")).alias("n")))
-        all_of = (F.col("toxic_all") + F.col("ordinary_all")).alias("n")
-        backoffs.append(by_context.select(F.concat(F.lit(f"{size}"), "context").alias("gram"), *weight, all_of))
+        shares.append(joined.select("gram", *share))
+        backoffs.append(by_context.select(F.concat(F.lit(f"{size}"), "context").alias("gram"), *weight))
     return _union(shares), _union(backoffs), level.count()
 
 
@@ -175,11 +176,8 @@ def _hashes(codes: np.ndarray, size: int) -> np.ndarray:
     return h
 
 
-def _table(rows: DataFrame, slots: int, lead: bool) -> Arrays:
-    """A lookup table of ``slots`` places on the driver; of grams in one place the most frequent stays.
-
-    Its size is fixed, so it may be broadcast. ``lead``: the first character tells the size of the gram.
-    """
+def _keyed(rows: DataFrame, lead: bool) -> DataFrame:
+    """``rows`` (gram, toxic, ordinary) under the 64-bit hash ``key``. ``lead``: contexts, whose first character tells the order."""
 
     def place(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -195,53 +193,73 @@ def _table(rows: DataFrame, slots: int, lead: bool) -> Arrays:
                 which = sizes == size
                 codes, _ = _codes(texts[which].tolist())
                 h[which] = _hashes(codes, size)[::size][: which.sum()] if size else mixed(np.zeros(1, np.uint64))[0]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((h & np.uint64(slots - 1)).astype(np.int64)), pa.array((h >> np.uint64(32)).astype(np.int64)), *batch.columns[1:]],
-                ["slot", "print", "toxic", "ordinary", "n"],
-            )
-
-    placed = rows.mapInArrow(place, "slot long, print long, toxic double, ordinary double, n long")
-    best = placed.groupBy("slot").agg(F.max(F.struct("n", "print", "toxic", "ordinary")).alias("best"))
-    kept = best.select(F.col("slot").cast("int"), "best.print", F.col("best.toxic").cast("float"), F.col("best.ordinary").cast("float"))
-    found = kept.toArrow()
-    slot = found.column(0).to_numpy()
-    table = (np.zeros(slots, np.uint32), np.zeros(slots, np.float32), np.zeros(slots, np.float32))
-    for array, column in zip(table, found.columns[1:]):
-        array[slot] = column.to_numpy()
-    return table
-
-
-def _looked_up(table: Arrays, h: np.ndarray, missing: float) -> tuple[np.ndarray, np.ndarray]:
-    slot = (h & np.uint64(len(table[0]) - 1)).astype(np.int64)
-    found = table[0][slot] == (h >> np.uint64(32)).astype(np.uint32)
-    return np.where(found, table[1][slot], np.float32(missing)), np.where(found, table[2][slot], np.float32(missing))
-
-
-def word_scores(model: ToxicModel, words: list[str]) -> np.ndarray:
-    """Toxic minus ordinary log-likelihood of each word, over its length; 0 for one without letters or digits."""
+            if lead:
+                h ^= CONTEXT
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *batch.columns[1:]], ["key", "toxic", "ordinary"])
+
+    return rows.mapInArrow(place, "key long, toxic double, ordinary double")
+
+
+def _spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the padded words in a row, where each word ends, its length, and the characters before each one in its word."""
     clean = _cleaner()
-    padded = [START + c + END if (c := clean("", w)) else "" for w in words]
-    codes, ends = _codes(padded)
-    n = len(codes)
-    scores = np.zeros(len(words))
-    if not n:
-        return scores
+    codes, ends = _codes([START + c + END if (c := clean("", w)) else "" for w in words])
     lengths = np.diff(ends, prepend=0)
-    starts = np.repeat(ends - lengths, lengths)
-    before = np.arange(n) - starts  # characters before each one in its word
-    toxic, ordinary = np.full(n, model.floor), np.full(n, model.floor)
-    contexts = np.full(n, mixed(np.zeros(1, np.uint64))[0], np.uint64)
+    return codes, ends, lengths, np.arange(len(codes)) - np.repeat(ends - lengths, lengths)
+
+
+def _keys(codes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each size the keys of the grams that end at each position, and of their contexts."""
+    n = len(codes)
     for size in range(1, ORDER + 1):
         h = np.zeros(n, np.uint64)
         h[size - 1 :] = _hashes(codes, size)
+        contexts = np.full(n, mixed(np.zeros(1, np.uint64))[0], np.uint64)
         if size > 1:
-            contexts = np.zeros(n, np.uint64)
             contexts[size - 1 :] = _hashes(codes, size - 1)[: n - size + 1]
-        share, weight = _looked_up(model.grams, h, 0.0), _looked_up(model.contexts, contexts, 1.0)
-        whole = before >= size - 1
+        yield size, h, contexts ^ CONTEXT
+
+
+def needed_keys(words: list[str]) -> np.ndarray:
+    """Keys of all grams and contexts that scoring the words asks for, each once."""
+    codes, _, _, before = _spelled(words)
+    found = [np.unique(k[before >= size - 1]) for size, *both in _keys(codes) for k in both]
+    return np.unique(np.concatenate(found))
+
+
+def _looked_up(table: Arrays, keys: np.ndarray, missing: float) -> tuple[np.ndarray, np.ndarray]:
+    at = np.searchsorted(table[0], keys)
+    at[at == len(table[0])] = 0
+    found = table[0][at] == keys if len(table[0]) else np.zeros(len(keys), bool)
+    if not found.any():
+        return np.full(len(keys), missing), np.full(len(keys), missing)
+    return np.where(found, table[1][at], missing), np.where(found, table[2][at], missing)
+
+
+def word_scores(table: Arrays, floor: float, words: list[str]) -> np.ndarray:
+    """Toxic minus ordinary log-likelihood of each word, over its length; 0 for one without letters or digits.
+
+    ``table`` holds the model's entries for the words' keys in order: (key, toxic, ordinary).
+    """
+    codes, ends, lengths, before = _spelled(words)
+    n = len(codes)
+    scores = np.zeros(len(words))
+    if not n:
+        return scores
+    by_size = list(_keys(codes))
+    longest = by_size[0][1].copy()
+    for size, h, _ in by_size[1:]:
+        np.copyto(longest, h, where=before >= size - 1)
+    # A character's likelihoods depend on its longest gram alone, so each such gram is looked up once.
+    _, first, which = np.unique(longest, return_index=True, return_inverse=True)
+    toxic, ordinary = np.full(len(first), floor), np.full(len(first), floor)
+    for size, h, contexts in by_size:
+        share, weight = _looked_up(table, h[first], 0.0), _looked_up(table, contexts[first], 1.0)
+        whole = before[first] >= size - 1
         toxic = np.where(whole, share[0] + weight[0] * toxic, toxic)
         ordinary = np.where(whole, share[1] + weight[1] * ordinary, ordinary)
-    parts = np.where(before > 0, np.log(np.maximum(toxic, 1e-30)) - np.log(np.maximum(ordinary, 1e-30)), 0.0)
+    ratio = np.log(np.maximum(toxic, 1e-30)) - np.log(np.maximum(ordinary, 1e-30))
+    parts = np.where(before > 0, ratio[which], 0.0)
     sums = np.concatenate([[0.0], np.cumsum(parts)])
     some = lengths > 1
     scores[some] = (sums[ends] - sums[ends - lengths])[some] / (lengths[some] - 1)
@@ -257,10 +275,10 @@ def document_features(scores: np.ndarray) -> tuple[float, float, float]:
 
 
 class _Reader:
-    """Features of texts in one task process; words are scored in lots and remembered up to a limit."""
+    """Features of the texts of one chunk; words are scored in lots and remembered up to a limit."""
 
-    def __init__(self, model: ToxicModel, limit: int = 1 << 18):
-        self.model, self.limit, self.known = model, limit, {}
+    def __init__(self, table: Arrays, floor: float, limit: int = 1 << 18):
+        self.table, self.floor, self.limit, self.known = table, floor, limit, {}
 
     def features(self, text: str) -> tuple[float, float, float]:
         words = text.lower().split()
@@ -270,7 +288,7 @@ class _Reader:
             if len(known) + len(new) > self.limit:
                 known.clear()
                 new = list(set(words))
-            known.update(zip(new, word_scores(self.model, new).tolist()))
+            known.update(zip(new, word_scores(self.table, self.floor, new).tolist()))
         return document_features(np.fromiter(map(known.__getitem__, words), np.float64, len(words)))
 
     def warm(self, texts: list[str]) -> None:
@@ -278,7 +296,7 @@ class _Reader:
         new = list({w for t in texts for w in t.lower().split() if w not in self.known})
         if len(self.known) + len(new) > self.limit:
             self.known.clear()
-        self.known.update(zip(new, word_scores(self.model, new).tolist()))
+        self.known.update(zip(new, word_scores(self.table, self.floor, new).tolist()))
 
 
 def fit_weights(features: np.ndarray, toxic: np.ndarray, ridge: float = 0.05) -> np.ndarray:
@@ -313,41 +331,78 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxic
     ``fit_rows`` that come first by a hash. Fold 0 is held out of both. Without labels of both classes
     every document gets one low score.
     """
-    spark = docs.sparkSession
     words = landed(word_counts(labelled(docs, labels.where(fold(F.col("doc_id")) < FOLDS - 1))), "toxic-words")
     shares, backoffs, single = gram_tables(words)
-    model = ToxicModel(_table(shares, GRAM_SLOTS, False), _table(backoffs, CONTEXT_SLOTS, True), 1 / (single + 1), np.zeros(10))
+    entries = landed(_keyed(shares, False).unionByName(_keyed(backoffs, True)), "toxic-model")
+    model = ToxicModel(entries, 1 / (single + 1), np.zeros(10))
     chosen = labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) == FOLDS - 1)
     chosen = chosen.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     # At most ``fit_rows`` ids and labels, so the broadcast is bounded.
     sample = docs.where("text is not null").where(fold(F.col("doc_id")) == FOLDS - 1).join(F.broadcast(chosen), "doc_id")
-    shared = spark.sparkContext.broadcast(model)
-    found = _scored(sample.select("text", "toxic"), shared, "toxic").collect()
+    found = _scored(sample.select("doc_id", "text", "toxic"), model, "toxic", 1 + fit_rows // 512).collect()
     features = np.array([row["features"] for row in found] or np.zeros((0, 3)))
     toxic = np.array([row["toxic"] for row in found], float)
     return model._replace(weights=fit_weights(features, toxic))
 
 
-def _scored(rows: DataFrame, shared, keep: str) -> DataFrame:
+def _read(docs: DataFrame, model: ToxicModel, finish: Callable, schema: str | T.StructType, chunks: int | None) -> DataFrame:
+    """``finish(rows, features)`` of the rows of ``docs`` in Arrow, chunk by chunk.
+
+    Documents are dealt to chunks of about ``CHUNK_CHARS`` characters by a hash of id and text. The keys of a
+    chunk's grams, each once, are joined with the model, and what is found goes to the chunk's
+    documents; so no task holds more of the model than its texts ask for. Both uses of the dealt
+    documents are one exchange where Spark reuses it.
+    """
+    if chunks is None:
+        chunks = 1 + (docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0) // CHUNK_CHARS
+    keys = [F.col(c) for c in ("doc_id", "text") if c in docs.columns]
+    dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64(*keys), F.lit(chunks)).cast("long"))
+    floor = model.floor
+
+    def spell(table):
+        import pyarrow as pa
+
+        texts, found = table.column("text"), np.empty(0, np.uint64)
+        words, chars = set(), 0
+        for i, text in enumerate(texts):
+            text = text.as_py() or ""
+            words.update(text.lower().split())
+            chars += len(text)
+            if chars > 2_000_000 or i == len(texts) - 1:
+                found = np.union1d(found, needed_keys(list(words)))
+                words, chars = set(), 0
+        chunk = pa.repeat(table.column("_chunk")[0], len(found))
+        return pa.table([chunk, pa.array(found.view(np.int64))], ["_chunk", "key"])
+
+    def read(table, entries):
+        key = entries.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        reader = _Reader((key[order], *(entries.column(c).to_numpy()[order] for c in ("toxic", "ordinary"))), floor)
+        texts, features = table.column("text"), []
+        for at in range(0, len(texts), 256):
+            lot = [t or "" for t in texts.slice(at, 256).to_pylist()]
+            if sum(map(len, lot)) < 2_000_000:
+                reader.warm(lot)
+            features += [reader.features(t) for t in lot]
+        return finish(table, features)
+
+    asked = dealt.groupBy("_chunk").applyInArrow(spell, "_chunk long, key long")
+    found = asked.join(model.entries, "key").select("_chunk", "key", "toxic", "ordinary")
+    return dealt.groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInArrow(read, schema)
+
+
+def _scored(rows: DataFrame, model: ToxicModel, keep: str, chunks: int | None = None) -> DataFrame:
     kind = rows.schema[keep].dataType.simpleString()
 
-    def read(batches: Iterator) -> Iterator:
+    def finish(table, features):
         import pyarrow as pa
 
-        reader = _Reader(shared.value)
-        for batch in batches:
-            texts, kept = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(texts), 256):
-                lot = [t or "" for t in texts[at : at + 256]]
-                if sum(map(len, lot)) < 2_000_000:
-                    reader.warm(lot)
-                found = [list(reader.features(t)) for t in lot]
-                yield pa.RecordBatch.from_arrays(
-                    [kept.slice(at, len(lot)), pa.array(found, pa.list_(pa.float64()))], [keep, "features"]
-                )
+        found = pa.array([list(f) for f in features], pa.list_(pa.float64()))
+        return pa.table([table.column(keep), found], [keep, "features"])
 
-    return rows.select("text", keep).mapInArrow(read, f"{keep} {kind}, features array<double>")
+    slim = rows.select(*dict.fromkeys(c for c in ("doc_id", "text", keep) if c in rows.columns))
+    return _read(slim, model, finish, f"{keep} {kind}, features array<double>", chunks)
 
 
 def score(docs: DataFrame, model: ToxicModel, keep: str = "doc_id") -> DataFrame:
@@ -355,32 +410,21 @@ def score(docs: DataFrame, model: ToxicModel, keep: str = "doc_id") -> DataFrame
 
     Texts are read whole. Null and empty texts have no words and get the score of none.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     w = [float(x) for x in model.weights]
     z = F.lit(w[0])
     for i in range(3):
         z = z + (F.col("features")[i] - w[4 + i]) / w[7 + i] * w[1 + i]
     bounded = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))
-    return _scored(docs, shared, keep).select(keep, (1 / (1 + F.exp(-bounded))).alias("score"))
+    return _scored(docs, model, keep).select(keep, (1 / (1 + F.exp(-bounded))).alias("score"))
 
 
 def drop_toxic(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """``docs`` without those that score 0.5 or more; columns and texts of the others stay as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    readers: list[_Reader] = []
+    weights, columns = model.weights, docs.columns
 
-    @F.arrow_udf("double")
-    def score_of(texts):
+    def finish(table, features):
         import pyarrow as pa
 
-        if not readers:
-            readers.append(_Reader(shared.value))
-        reader, scores = readers[0], []
-        for at in range(0, len(texts), 256):
-            lot = [t or "" for t in texts.slice(at, 256).to_pylist()]
-            if sum(map(len, lot)) < 2_000_000:
-                reader.warm(lot)
-            scores += [probability(reader.model.weights, reader.features(t)) for t in lot]
-        return pa.array(scores, pa.float64())
+        return table.select(columns).filter(pa.array([probability(weights, f) < 0.5 for f in features], pa.bool_()))
 
-    return docs.where(score_of(F.col("text")) < 0.5)
+    return _read(docs, model, finish, docs.schema, None)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 from itertools import combinations_with_replacement
 
@@ -173,6 +174,69 @@ def test_scores_are_probabilities_of_characters():
     assert h[0] == h[2] != h[1]
 
 
+def kneser_ney(docs):
+    """The share of every gram and the weight of every context by class, and the floor, in plain Python over (text, toxic)."""
+    top = defaultdict(lambda: [0, 0])
+    for text, toxic in docs:
+        for word in text.lower().split():
+            if word := re.sub(r"[\W_]+", "", word):
+                padded = "\x02" + word + "\x03"
+                for i in range(2, len(padded) + 1):
+                    top[padded[max(0, i - 5) : i]][1 - toxic] += 1
+    level, shares, weights = {g: n for g, n in top.items() if len(g) == 5}, {}, {}
+    for size in range(5, 0, -1):
+        if size < 5:
+            lower = defaultdict(lambda: [0, 0])
+            for g, n in level.items():
+                for y in (0, 1):
+                    lower[g[1:]][y] += 1 if size <= 2 else n[y] > 0
+            for g, n in top.items():
+                if len(g) == size:
+                    for y in (0, 1):
+                        lower[g][y] += sum(n) if size == 2 else n[y]
+            level = dict(lower)
+        whole, kinds = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+        for g, n in level.items():
+            for y in (0, 1):
+                whole[g[:-1]][y] += n[y]
+                kinds[g[:-1]][y] += n[y] > 0
+        for g, n in level.items():
+            shares[g] = [max(n[y] - 0.75, 0) / whole[g[:-1]][y] if whole[g[:-1]][y] else 0 for y in (0, 1)]
+        for c in whole:
+            weights[size, c] = [0.75 * kinds[c][y] / whole[c][y] if whole[c][y] else 1 for y in (0, 1)]
+    return shares, weights, 1 / (len(level) + 1)
+
+
+def features_by_hand(model, text):
+    shares, weights, floor = model
+    scores = []
+    for word in text.lower().split():
+        padded, total = "\x02" + re.sub(r"[\W_]+", "", word) + "\x03", 0.0
+        for i in range(1, len(padded)):
+            p = [floor, floor]
+            for size in range(1, min(i + 1, 5) + 1):
+                gram = padded[i + 1 - size : i + 1]
+                p = [shares.get(gram, (0, 0))[y] + weights.get((size, gram[:-1]), (1, 1))[y] * p[y] for y in (0, 1)]
+            total += np.log(max(p[0], 1e-30)) - np.log(max(p[1], 1e-30))
+        scores.append(total / (len(padded) - 1) if len(padded) > 2 else 0.0)
+    return toxicity.document_features(np.array(scores))
+
+
+def test_no_gram_is_lost(session, frame, monkeypatch):
+    """Scores follow the whole model, with far more grams than can lie in two million slots without a clash."""
+    monkeypatch.setattr(toxicity, "fit_weights", lambda *_: np.array([0.0, 0.1, 0.1, 0.1, 0.0, 0.0, 0.0, 1.0, 1.0, 1.0]))
+    chance = random.Random(8)
+    rows = [(key, " ".join("".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(20))) for key in range(700)]
+    learnt = [(k, t) for k, t in rows if zlib.crc32(str(k).encode()) % 5 in (1, 2, 3)]
+    labels = session.createDataFrame([(k, k % 2) for k, _ in learnt], "doc_id long, toxic int")
+    model = toxicity.train(frame(rows), labels)
+    by_hand = kneser_ney([(t, k % 2) for k, t in learnt])
+    assert len(by_hand[0]) > 80_000
+    found = dict(toxicity.score(frame(rows), model).collect())
+    for key, text in rows:
+        assert abs(found[key] - toxicity.probability(model.weights, features_by_hand(by_hand, text))) < 1e-9
+
+
 def test_pipeline(session, sf_dir):
     docs, columns = read(session, sf_dir, "documents"), corpus_pipeline.COLUMNS
     counts = [docs.count()]
