@@ -17,8 +17,10 @@ from ferrytab.llm.common import landed, word_count
 WEIGHTS = (1, 2, 3)
 #: A document is used at most so often.
 MOST_PASSES = 3
-#: Words left over that the knapsack fits exactly; the rounds before it bring every budget below.
+#: Words left over that the knapsack fits exactly at first; where that misses the budget it gets more of it, up to all.
 KNAPSACK_WORDS = 4_096
+#: Bits that the tables of one knapsack may have in memory.
+KNAPSACK_BITS = 1 << 31
 #: Documents ranked together; longer lists of equal length are cut into parts of about this size.
 PART_ROWS = 1_024
 
@@ -46,16 +48,34 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 
 
 def fit_counts(counts: list[tuple[int, int]], budget: int, limit: int = KNAPSACK_WORDS) -> dict[int, int]:
-    """How many documents of each length to take so that their words come as near to ``budget`` as found, not above.
+    """How many documents of each length to take so that their words come as near to ``budget`` as can be, not above.
 
     ``counts`` are (length, documents), lengths over 0; the budget is under the sum of all. An even
     share of every length comes first, then from the longest on one more of a length each, then what
-    fits, and last an exact bounded knapsack over what is left, up to ``limit`` words.
+    fits, and last an exact bounded knapsack over what is left, up to ``limit`` words. If that misses
+    the budget, less is shared out and the knapsack runs on four times as many words, until it meets
+    the budget or has run on all of it. Only where its tables would have over ``KNAPSACK_BITS`` bits
+    does it end before, with the nearest sum found.
     """
     total = sum(size * n for size, n in counts)
     if budget >= total:
         return dict(counts)
-    taken = {size: budget * n // total for size, n in counts}
+    most = max(limit, KNAPSACK_BITS // max(1, sum(n.bit_length() for _, n in counts)))
+    words, shared, best, nearest = limit, budget, {}, -1
+    while True:
+        taken = _fitted(counts, total, budget, shared, words)
+        reached = sum(size * k for size, k in taken.items())
+        if reached > nearest:
+            best, nearest = taken, reached
+        if nearest == budget or words >= min(budget, most):
+            return best
+        words = min(4 * words, budget, most)
+        shared = budget - words
+
+
+def _fitted(counts: list[tuple[int, int]], total: int, budget: int, shared: int, limit: int) -> dict[int, int]:
+    """Even shares of ``shared`` words, then from the longest on, then a knapsack over the last ``limit`` words."""
+    taken = {size: shared * n // total for size, n in counts}
     left = budget - sum(size * k for size, k in taken.items())
     longest_first = sorted(counts, reverse=True)
     for most in (1, None):

@@ -139,6 +139,20 @@ def test_knapsack_reaches_the_best_sum(seed):
     assert combinations_with_replacement  # keeps the budget's sums readable above
 
 
+def test_few_long_documents_meet_their_budget():
+    assert mixing.fit_counts([(7_000, 1), (6_500, 1), (5_500, 1)], 12_000) == {7_000: 0, 6_500: 1, 5_500: 1}
+    chance = random.Random(3)
+    for _ in range(20):
+        counts = [(size, chance.randrange(1, 4)) for size in chance.sample(range(3_000, 20_000), 4)]
+        sums = {0}
+        for size, n in counts:
+            sums = {a + size * k for a in sums for k in range(n + 1)}
+        budget = chance.randrange(1, max(sums))
+        taken = mixing.fit_counts(counts, budget)
+        assert all(0 <= taken[s] <= n for s, n in counts)
+        assert sum(s * k for s, k in taken.items()) == max(x for x in sums if x <= budget)
+
+
 def test_toxicity_on_held_out_documents(session, frame):
     chance = random.Random(6)
     usual, bad = [f"plain{i}" for i in range(60)], ["vilewretch", "foulmouthed", "scumbagger"]
