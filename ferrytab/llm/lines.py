@@ -20,8 +20,8 @@ DEPTH = 3
 FIELDS = 3
 #: Tokens after the leading ones that a line needs before a part of them may vary.
 VARIABLE_FROM = 6
-#: Lines of fewer tokens have no template, nor have those with fewer constant tokens than this share.
-LEAST_TOKENS, LEAST_CONSTANT = 3, 0.5
+#: Templates with fewer constant tokens than this share do not count; a line as it stands always does.
+LEAST_CONSTANT = 0.5
 #: Documents in which a template must occur.
 LEAST_DOCUMENTS = 5
 
@@ -29,14 +29,17 @@ WILD = b"<*>"
 
 
 def line_templates(line: bytes) -> list[bytes]:
-    """Templates of a line: its path in the tree with the tokens below, digits generalised, and those with one wild part.
+    """Templates of a line: its tokens as they stand, those with digits generalised, and these with one wild part.
 
-    Tokens are runs of anything but ASCII white space; one that holds a digit is a variable field.
+    Tokens are runs of anything but ASCII white space; one that holds a digit is a variable field. Every
+    line with a token has the first template, so that a line repeated word for word recurs whatever
+    its length and its digits; a row of other numbers is no repeat of it.
     """
     tokens = line.split()
     n = len(tokens)
-    if n < LEAST_TOKENS:
+    if not n:
         return []
+    exact = b" ".join(tokens)
     if line.translate(None, b"0123456789") != line:
         tokens = [WILD if t.translate(None, b"0123456789") != t else t for t in tokens]
     rest = n - DEPTH
@@ -44,7 +47,7 @@ def line_templates(line: bytes) -> list[bytes]:
     if rest >= VARIABLE_FROM:
         cuts = [DEPTH + rest * k // FIELDS for k in range(FIELDS + 1)]
         found += [tokens[:a] + [WILD] * (b - a) + tokens[b:] for a, b in zip(cuts, cuts[1:])]
-    return [b" ".join(t) for t in found if n - t.count(WILD) >= LEAST_CONSTANT * n]
+    return list(dict.fromkeys([exact, *(b" ".join(t) for t in found if n - t.count(WILD) >= LEAST_CONSTANT * n)]))
 
 
 def _digests(line: bytes) -> list[int]:

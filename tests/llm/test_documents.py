@@ -66,6 +66,14 @@ def test_recurring_templates_go(frame):
     assert dropped(frame([])) == []
 
 
+def test_short_lines_and_lines_of_numbers_go(frame):
+    rows = [(k, f"Read more\n2024-01-05 10:30 +44 20 7946 0000\nLogin\n\u8bf7\u767b\u5f55\n{k}.5 {k}7 {k}9\nown{chr(97 + k)}") for k in range(6)]
+    found = {r["doc_id"]: r["text"] for r in lines.drop_template_lines(frame(rows)).collect()}
+    assert found[0] == rows[0][1]
+    for k in range(1, 6):
+        assert found[k] == f"{k}.5 {k}7 {k}9\nown{chr(97 + k)}"
+
+
 def test_line_query(session, sf_dir):
     rows = [tuple(r) for r in read(session, sf_dir, "documents").select("doc_id", "text").collect()]
     got = sorted((r["doc_id"], r["n_lines"], r["n_dropped"]) for r in QUERIES["op1_line_dedup"](session, sf_dir).collect())
