@@ -326,15 +326,16 @@ def probability(weights: np.ndarray, features) -> float:
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> ToxicModel:
     """The model of ``docs`` (doc_id, text) under ``labels`` (doc_id, toxic).
 
-    Counts come from all labelled rows of folds 1 to 3. The four numbers that turn a document's
-    features into a score are fitted on labelled rows of fold 4, which the counts have not seen: the
-    ``fit_rows`` that come first by a hash. Fold 0 is held out of both. Without labels of both classes
+    The four numbers that turn a document's features into a score are fitted on labelled rows of fold 4
+    with counts of all labelled rows of folds 1 to 3, which have not seen them: the ``fit_rows`` that
+    come first by a hash. The model that scores counts folds 1 to 4. Fold 0 is held out of both. Without labels of both classes
     every document gets one low score.
     """
-    words = landed(word_counts(labelled(docs, labels.where(fold(F.col("doc_id")) < FOLDS - 1))), "toxic-words")
-    shares, backoffs, single = gram_tables(words)
-    entries = landed(_keyed(shares, False).unionByName(_keyed(backoffs, True)), "toxic-model")
-    model = ToxicModel(entries, 1 / (single + 1), np.zeros(10))
+    last = fold(F.col("doc_id")) == FOLDS - 1
+    seen = landed(word_counts(labelled(docs, labels.where(~last))), "toxic-words")
+    rest = landed(word_counts(labelled(docs, labels.where(last))), "toxic-words-last")
+    both = seen.unionByName(rest).groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    model = _counted(seen)
     chosen = labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) == FOLDS - 1)
     chosen = chosen.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
@@ -343,7 +344,14 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxic
     found = _scored(sample.select("doc_id", "text", "toxic"), model, "toxic", 1 + fit_rows // 512).collect()
     features = np.array([row["features"] for row in found] or np.zeros((0, 3)))
     toxic = np.array([row["toxic"] for row in found], float)
-    return model._replace(weights=fit_weights(features, toxic))
+    return _counted(landed(both, "toxic-words-all"))._replace(weights=fit_weights(features, toxic))
+
+
+def _counted(words: DataFrame) -> ToxicModel:
+    """The model of word counts, without weights."""
+    shares, backoffs, single = gram_tables(words)
+    entries = landed(_keyed(shares, False).unionByName(_keyed(backoffs, True)), "toxic-model")
+    return ToxicModel(entries, 1 / (single + 1), np.zeros(10))
 
 
 def _read(docs: DataFrame, model: ToxicModel, finish: Callable, schema: str | T.StructType, chunks: int | None) -> DataFrame:

@@ -259,6 +259,19 @@ def test_no_gram_is_lost(session, frame, monkeypatch):
         assert abs(found[key] - toxicity.probability(model.weights, features_by_hand(by_hand, text))) < 1e-9
 
 
+def test_the_last_fold_counts_too(session, frame, monkeypatch):
+    """Expressions of documents in fold 4 alone are in the model that scores, and fold 0 is in neither."""
+    monkeypatch.setattr(toxicity, "fit_weights", lambda *_: np.array([0.0, 0.1, 0.1, 0.1, 0.0, 0.0, 0.0, 1.0, 1.0, 1.0]))
+    folds = {k: zlib.crc32(str(k).encode()) % 5 for k in range(100)}
+    rows = [(k, ["heldword", "plain usual", "plain tale", "usual tale", "vilewretch" if k % 2 else "plain"][n]) for k, n in folds.items()]
+    labels = session.createDataFrame([(k, k % 2) for k in folds], "doc_id long, toxic int")
+    model = toxicity.train(frame(rows), labels)
+    by_hand = kneser_ney([(t, k % 2) for k, t in rows if folds[k]])
+    found = dict(toxicity.score(frame(rows), model).collect())
+    for key, text in rows:
+        assert abs(found[key] - toxicity.probability(model.weights, features_by_hand(by_hand, text))) < 1e-9
+
+
 def test_pipeline(session, sf_dir):
     docs, columns = read(session, sf_dir, "documents"), corpus_pipeline.COLUMNS
     counts = [docs.count()]
