@@ -22,12 +22,16 @@ def cleaned(rows, least=5):
     def templates(line):
         tokens = re.findall(rb"[^\x20\x09-\x0d]+", line)
         n = len(tokens)
-        tokens = [b"<*>" if re.search(rb"[0-9]", t) else t for t in tokens]
-        made = [tokens]
-        if n - 3 >= 6:
-            cuts = [3 + (n - 3) * k // 3 for k in range(4)]
-            made += [[b"<*>" if a <= i < b else t for i, t in enumerate(tokens)] for a, b in zip(cuts, cuts[1:])]
-        return [tuple(t) for t in made if n >= 3 and n - t.count(b"<*>") >= n / 2]
+        if n == 0:
+            return set()
+        wild = [b"<*>" if re.search(rb"[0-9]", t) else t for t in tokens]
+        made = [wild]
+        if n >= 9:  # one third at a time of what follows the leading three
+            for a, b in ((0, 1), (1, 2), (2, 3)):
+                low, high = 3 + (n - 3) * a // 3, 3 + (n - 3) * b // 3
+                made.append([b"<*>" if low <= i < high else t for i, t in enumerate(wild)])
+        # The line as it stands always counts, a generalised one if half of its tokens are constant.
+        return {tuple(tokens)} | {tuple(t) for t in made if 2 * t.count(b"<*>") <= n}
 
     order = lambda key: (key is None, key or 0)
     docs = defaultdict(list)
