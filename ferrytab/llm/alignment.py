@@ -8,8 +8,10 @@ of their document; offsets are cumulative sums within a document; links are a ha
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -68,10 +70,39 @@ class _Pair:
             [f"{i}{sign}" for n, signs in zip(sizes, (",|", ",;")) for i in range(n) for sign in signs], pa.large_string()
         )
         self.shift = 2 * sizes[0]
+        self.quick = _quick_form(json.loads(a), entries)
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        spaced = [" " + t for t in texts]
-        return [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)], self.b.encode(texts, num_threads=1)
+    def encode_a(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of a space and the text, of each text."""
+        if self.quick is not None:
+            return [self.quick.encode_to_numpy(" " + t, disallowed_special=()) for t in texts]
+        return [np.array(e.ids) for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[list[int]]]:
+        return self.encode_a(texts), self.b.encode(texts, num_threads=1)
+
+
+def _quick_form(a: dict, entries: dict[int, bytes]):
+    """The same byte-level tokenizer in the library that merges ranks, several times as fast; ``None`` if it is none of that form.
+
+    It must split text by the common pattern, change nothing before, and number its merges in their order, so that a
+    merge's rank is the id of what it makes.
+    """
+    import public_tokenizers
+    import tiktoken
+
+    model, split = a["model"], a.get("pre_tokenizer") or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    if model["type"] != "BPE" or not plain or a.get("normalizer") or any(
+        model.get(c) for c in ("dropout", "byte_fallback", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix")
+    ):
+        return None
+    vocab = model["vocab"]
+    made = [vocab.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    if made != list(range(256, 256 + len(made))) or len(vocab) != 256 + len(made):
+        return None
+    ranks = {entries[i]: i for i in vocab.values()}
+    return tiktoken.Encoding("quick", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 _LOADED: dict = {}
@@ -88,15 +119,19 @@ def _loaded(name: str, shared) -> _Pair:
 class _Side:
     """Tokens of one tokenizer over several texts: ids in a row, their text's index, and where they end in it."""
 
-    def __init__(self, lists: list[list[int]], table) -> None:
+    def __init__(self, lists: list, table) -> None:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        column = pa.array(lists, pa.list_(pa.int32()))
+        stops = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
+        if lists and isinstance(lists[0], np.ndarray):
+            flat = np.concatenate(lists).astype(np.int32)
+        else:
+            flat = np.fromiter(chain.from_iterable(lists), np.int32, stops[-1] if len(stops) else 0)
+        column = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]), pa.int32()), pa.array(flat))
         self.ids, self.doc = column.flatten(), pc.list_parent_indices(column).to_numpy()
         self.taken = table.take(self.ids)
         running = pc.cumulative_sum(pc.binary_length(self.taken)).to_numpy() if len(self.ids) else np.zeros(0, np.int64)
-        stops = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
         self.totals = np.concatenate([[0], running])[stops]  # bytes up to the end of each text
         self.end = running - np.concatenate([[0], self.totals[:-1]])[self.doc] if len(self.ids) else running
         self.ids = self.ids.to_numpy()
@@ -121,6 +156,15 @@ def _equals(side: _Side, wanted: list[bytes]) -> np.ndarray:
     return np.array([data[s:e] == w for s, e, w in zip(starts.tolist(), side.totals.tolist(), wanted)], bool)
 
 
+def _groups(ends: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The group of every token, and the ends at which groups are cut; ``ends`` rise, ``linked`` are places of linked tokens."""
+    cut = np.zeros(len(ends), bool)
+    cut[linked] = True
+    first = cut.copy()
+    first[1:] &= ends[1:] != ends[:-1]
+    return np.cumsum(first) - cut, ends[first]
+
+
 def align_texts(pair: _Pair, texts: list[str]) -> dict:
     """Of several texts: links (``link_doc``, ``link_pair``), and per text the token, group and link counts and its groups' bytes."""
     import pyarrow as pa
@@ -143,10 +187,9 @@ def align_texts(pair: _Pair, texts: list[str]) -> dict:
 
     # Ends of all texts on one scale: groups are cut at the ends that both sides have.
     width = np.int64(1) + max(a.end.max(initial=0), b.end.max(initial=0))
-    cuts = np.unique(link_doc * width + a.end[at_a])
-    group_a, group_b = (np.searchsorted(cuts, s.doc * width + s.end) for s in (a, b))
-    upto = np.arange(len(cuts) + 1)
-    a_before, b_before = np.searchsorted(group_a, upto), np.searchsorted(group_b, upto)
+    group_a, cuts = _groups(a.doc * width + a.end, at_a)
+    group_b, _ = _groups(b.doc * width + b.end, at_b)
+    a_before, b_before = (np.concatenate([[0], np.cumsum(np.bincount(g, minlength=len(cuts)))]) for g in (group_a, group_b))
 
     def last(group: np.ndarray) -> np.ndarray:
         return np.append(group[1:] != group[:-1], True) if len(group) else np.zeros(0, bool)

@@ -93,6 +93,28 @@ def test_against_loops(session, frame, loaded, monkeypatch, part, lot):
     assert {2, 3, 6} <= zeros and not {1, 4, 5, 7} & zeros
 
 
+def test_both_libraries_give_the_same_ids(loaded, sf_dir):
+    import json
+
+    import pyarrow.parquet as pq
+
+    a, b = alignment_tokenizers()
+    pair = alignment._Pair(a, b)
+    assert pair.quick is not None
+    texts = [t for t in pq.read_table(f"{sf_dir}/documents.parquet", columns=["text"])["text"].to_pylist() if t]
+    lots = [range(start, start + 64) for start in range(0, 0x110000, 64 * 7)]
+    texts += ["".join(f"a{chr(c)}b1{chr(c)} " for c in lot if not 0xD800 <= c < 0xE000) for lot in lots]
+    texts += ["x" * 50_000, " " * 5_000 + "\n" * 500 + "y", "ab" * 20_000, "<|endoftext|>" * 50]
+    for text, ids in zip(texts, pair.encode_a(texts)):
+        assert ids.tolist() == loaded[0].encode(" " + text, add_special_tokens=False).ids
+    other = json.loads(a)
+    other["pre_tokenizer"]["add_prefix_space"] = True
+    assert alignment._quick_form(other, {}) is None
+    other = json.loads(a)
+    other["model"]["merges"][:2] = other["model"]["merges"][1::-1]
+    assert alignment._quick_form(other, {}) is None
+
+
 def test_empty_table(session, frame):
     assert alignment.alignment_report(frame([]), *alignment_tokenizers()).count() == 0
     only = alignment.alignment_report(frame([(1, None), (2, "")]), *alignment_tokenizers()).collect()
