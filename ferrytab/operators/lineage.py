@@ -9,12 +9,45 @@ from pyspark.sql import functions as F
 
 from ferrytab.functions.text import column_type, find_column, shown
 from ferrytab.functions.transforms import TransformRegistry
-from ferrytab.operators.mapping import EntityMapping, mapped_column
+from ferrytab.operators.mapping import EntityMapping, FieldMapping, mapped_column
+from ferrytab.operators.rules import Row, Rule
 
 DIRECT_COPY = "direct_copy"
 _ID_PARTS = ("job_id", "record_id", "source_table", "source_column", "target_table", "target_column")
 
 
+def wide_rows(
+    df: DataFrame, mapping: EntityMapping, registry: TransformRegistry | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Each row's target fields, and the text of the source value of each (``_s0``, ``_s1``, ...).
+
+    One projection: whoever writes it evaluates the transforms once and can take the mapped rows, their
+    lineage and their data map from it. Columns in ``keep`` pass through; mapped columns the table lacks are left out.
+    """
+    registry = registry or TransformRegistry()
+    present = present_fields(df, mapping)
+    sources = [
+        shown(F.col(f.source_column), column_type(df, f.source_column)).alias(f"_s{i}") for i, f in enumerate(present)
+    ]
+    return df.select(*keep, *[mapped_column(df, f, registry) for f in present], *sources)
+
+
+def present_fields(df: DataFrame, mapping: EntityMapping) -> list[FieldMapping]:
+    """The fields of a mapping whose source column the table has."""
+    return [f for f in mapping.fields if find_column(df, f.source_column)]
+
+
+def rows_of_records(
+    df: DataFrame, mapping: EntityMapping, records: DataFrame, registry: TransformRegistry | None = None
+) -> DataFrame:
+    """The source rows whose lineage has a ``record_id`` that ``records`` has; only the key's transform runs on the others."""
+    registry = registry or TransformRegistry()
+    kind = registry.get(mapping.key.transform).returns if mapping.key.transform else column_type(df, mapping.key.source_column)
+    record = shown(mapped_column(df, mapping.key, registry), kind)
+    wanted = records.select(F.col("record_id").alias("_record")).distinct()
+    return df.join(wanted, record == F.col("_record"), "left_semi")
+
+
 def build_lineage(
     df: DataFrame,
     mapping: EntityMapping,
@@ -27,14 +60,23 @@ def build_lineage(
 
     ``lineage_id`` follows from job, record and field, so a job that runs again gives the same ids.
     """
-    registry = registry or TransformRegistry()
-    present = [f for f in mapping.fields if find_column(df, f.source_column)]
-    sources = [
-        shown(F.col(f.source_column), column_type(df, f.source_column)).alias(f"s{i}") for i, f in enumerate(present)
-    ]
-    mapped = df.select(*[mapped_column(df, f, registry).alias(f"t{i}") for i, f in enumerate(present)], *sources)
-    targets = [shown(F.col(f"t{i}"), column_type(mapped, f"t{i}")) for i in range(len(present))]
+    present = present_fields(df, mapping)
+    return lineage_of(wide_rows(df, mapping, registry), mapping, present, job_id, etl_commit_id, created_at)
+
+
+def lineage_of(
+    wide: DataFrame,
+    mapping: EntityMapping,
+    present: list[FieldMapping],
+    job_id: str,
+    etl_commit_id: str = "",
+    created_at: datetime | str | None = None,
+) -> DataFrame:
+    """The lineage of :func:`wide_rows`; no transform runs."""
     key = next(i for i, f in enumerate(present) if f.is_key)
+    numbered = [(F.col(f"`{f.target_field}`").alias(f"t{i}"), F.col(f"_s{i}").alias(f"s{i}")) for i, f in enumerate(present)]
+    mapped = wide.select(*[column for pair in numbered for column in pair])
+    targets = [shown(F.col(f"t{i}"), column_type(mapped, f"t{i}")) for i in range(len(present))]
 
     # What does not depend on the row is one constant array. The values are picked afterwards, so a
     # reader that leaves them out does not pay for the transforms.
@@ -234,3 +276,63 @@ def data_map(lineage: DataFrame, failures: DataFrame, job_id: str | None = None)
         "entries",
         (passed / F.size("fields") * 100).alias("validation_pass_rate"),
     )
+
+
+def data_map_of(
+    wide: DataFrame,
+    mapping: EntityMapping,
+    present: list[FieldMapping],
+    rules: list[Rule],
+    job_id: str,
+    etl_commit_id: str = "",
+) -> DataFrame:
+    """The data map of :func:`wide_rows`, equal to :func:`data_map` of their lineage and validation failures.
+
+    A record's fields stand side by side in its row and the rules look at that row, so one aggregate by record is
+    enough: a row per record and task is shuffled, not one per field. A field of a record that occurs more than once
+    shows its smallest source value, and has failed if any of them failed.
+    """
+    row = Row(wide)
+    failed = {}
+    for rule in rules:
+        if row.has(rule.field):
+            flag = ~rule.outcome(row)[0]
+            name = rule.field.lower()
+            failed[name] = failed[name] | flag if name in failed else flag
+    key = next(i for i, f in enumerate(present) if f.is_key)
+    shown_ = [shown(F.col(f"`{f.target_field}`"), column_type(wide, f.target_field)) for f in present]
+    slim = wide.select(
+        shown_[key].alias("record_id"),
+        *[F.struct(F.col(f"_s{i}").alias("s"), shown_[i].alias("t")).alias(f"_v{i}") for i in range(len(present))],
+        *[failed.get(f.target_field.lower(), F.lit(False)).alias(f"_f{i}") for i, f in enumerate(present)],
+    )
+    records = slim.groupBy("record_id").agg(
+        *[F.min(f"_v{i}").alias(f"_v{i}") for i in range(len(present))],
+        *[F.bool_or(f"_f{i}").alias(f"_f{i}") for i in range(len(present))],
+        (F.count(F.lit(1)) * len(present)).alias("entries"),
+    )
+    fields = F.array(
+        *[
+            F.struct(
+                F.lit(f.target_field).alias("field_name"),
+                F.lit(mapping.source_table).alias("source_table"),
+                F.lit(f.source_column).alias("source_column"),
+                F.col(f"_v{i}.s").alias("source_value"),
+                F.col(f"_v{i}.t").alias("transformed_value"),
+                F.lit(f.transform or DIRECT_COPY).alias("transformation_applied"),
+                (~F.col(f"_f{i}")).alias("validation_passed"),
+                F.lit(etl_commit_id).alias("etl_commit_id"),
+            )
+            for i, f in sorted(enumerate(present), key=lambda pair: (pair[1].target_field, pair[1].source_column))
+        ]
+    )
+    whole = records.select(F.lit(job_id).alias("job_id"), "record_id", fields.alias("fields"), "entries")
+    passed = F.size(F.filter("fields", lambda f: f["validation_passed"]))
+    return whole.select(
+        "job_id",
+        "record_id",
+        "fields",
+        F.size("fields").cast("bigint").alias("total_fields"),
+        "entries",
+        (passed / F.size("fields") * 100).alias("validation_pass_rate"),
+    )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrytab.operators.lineage import impacts
+from ferrytab.session import scratch_path
 
 # Intents in the order they are tried, with the phrases that give them.
 INTENT_PHRASES = (
@@ -32,8 +34,14 @@ KNOWN_TABLES = ("policies", "claims", "premiums", "coverage", "agents")
 COLUMN_ENTRIES, RECORD_ENTRIES = 10, 20
 KEPT_MESSAGES = 20
 
+Fetch = Callable[[DataFrame], DataFrame]
+
 _LOOKUP = ["lookup", "_a", "_b"]
+# Names of a lineage entry in the order that ranks entries of one lookup, and its other columns, which break ties.
+_NAMES = ("record_id", "source_table", "source_column", "target_table", "target_column", "transformation", "job_id")
+_REST = ("lineage_id", "source_value", "target_value", "etl_commit_id")
 _LOWERED = "_lowered"
+_DETAILS = "map<string,array<string>>"
 
 
 def intent(question: Column) -> Column:
@@ -117,35 +125,39 @@ def _with_lookup(questions: DataFrame, text: str) -> DataFrame:
     )
 
 
-def _entries(lineage: DataFrame, routed: DataFrame, by_column: int, by_record: int) -> DataFrame:
-    """The first entries of every lookup key.
+def _entries(lineage: DataFrame, routed: DataFrame, by_column: int, by_record: int, fetch: Fetch | None) -> DataFrame:
+    """The first entries of every lookup key that a question asks for, whole.
 
-    There are as many column lookups as columns, each with an entry per record: they are cut to the
-    first few in each task before they are shuffled. Record lookups are as many as records, so only
-    those that a question asks for go on.
+    Entries of other keys leave first, by a semi-join with the distinct keys asked for. What is left is ranked by
+    its names alone, cut to the first few in each task before the shuffle; the values, which take the
+    transforms where the lineage is not stored, are fetched for those only.
     """
-    entry = ("record_id", "source_table", "source_column", "target_table", "target_column", "transformation")
 
     def lookup(kind: str, a: Column, b: Column) -> Column:
         return F.struct(F.lit(kind).alias("lookup"), a.alias("_a"), b.alias("_b"))
 
-    def first(candidates: DataFrame, keep: int) -> DataFrame:
-        order = Window.partitionBy(*_LOOKUP).orderBy(*entry)
-        return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
-
-    columns = lineage.select(
-        *entry,
-        F.inline(
-            F.array(
-                lookup("backward", F.col("target_table"), F.col("target_column")),
-                lookup("forward", F.col("source_table"), F.col("source_column")),
-            )
-        ),
-    )
-    asked = routed.where(F.col("lookup") == "record").select(F.col("_a").alias("record_id")).distinct()
-    records = lineage.select(*entry).join(asked, "record_id", "left_semi")
-    records = records.select(*entry, F.inline(F.array(lookup("record", F.col("record_id"), F.lit("")))))
-    return first(columns, by_column).unionByName(first(records, by_record))
+    def first(kinds: list[Column], names: tuple[str, ...], keep: int) -> DataFrame:
+        asked = routed.where(F.col("lookup").isin(*names)).select(*_LOOKUP).distinct()
+        ranked = lineage.select(*_NAMES, F.inline(F.array(*kinds))).join(asked, _LOOKUP, "left_semi")
+        order = Window.partitionBy(*_LOOKUP).orderBy(*_NAMES)
+        return ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
+
+    columns = [
+        lookup("backward", F.col("target_table"), F.col("target_column")),
+        lookup("forward", F.col("source_table"), F.col("source_column")),
+    ]
+    records = [lookup("record", F.col("record_id"), F.lit(""))]
+    found = first(columns, ("backward", "forward"), by_column).unionByName(first(records, ("record",), by_record))
+    chosen = found.select(*_LOOKUP, *[F.col(c).alias(f"_{c}") for c in _NAMES]).distinct()
+    path = scratch_path(lineage.sparkSession, "chosen")  # a few rows per key asked for, read several times
+    chosen.write.parquet(path)
+    chosen = lineage.sparkSession.read.schema(chosen.schema).parquet(path)
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _NAMES]
+    source = fetch(chosen.select(F.col("_record_id").alias("record_id"))) if fetch else lineage
+    whole = source.select(*_NAMES, *_REST).join(chosen, reduce(and_, same)).drop(*[f"_{c}" for c in _NAMES])
+    order = Window.partitionBy(*_LOOKUP).orderBy(*_NAMES, *_REST)
+    keep = F.when(F.col("lookup") == "record", by_record).otherwise(by_column)
+    return whole.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
 
 
 def question_context(
@@ -155,16 +167,22 @@ def question_context(
     text: str = "question",
     by_column: int = COLUMN_ENTRIES,
     by_record: int = RECORD_ENTRIES,
+    fetch: Fetch | None = None,
 ) -> DataFrame:
     """The lineage each question asks for: up to ``by_column`` entries by column, up to ``by_record`` by
-    record, or one impact row.
+    record, or one impact row with its ``details`` (target table to its columns). Entries are whole. ``fetch`` gives
+    the lineage of the records in a frame (``record_id``), where it is not stored and would cost all transforms otherwise.
 
     Questions that ask for nothing leave before the join. Many questions with one lookup make a
     large partition on the left side only, which AQE splits.
     """
     routed = _with_lookup(questions, text).where(F.col("lookup") != "none")
-    entries = _entries(lineage, routed, by_column, by_record).withColumns(
-        {"affected_tables": F.lit(None).cast("bigint"), "affected_columns": F.lit(None).cast("bigint")}
+    entries = _entries(lineage, routed, by_column, by_record, fetch).withColumns(
+        {
+            "affected_tables": F.lit(None).cast("bigint"),
+            "affected_columns": F.lit(None).cast("bigint"),
+            "details": F.lit(None).cast(_DETAILS),
+        }
     )
     effects = impacts(lineage).select(
         F.lit("impact").alias("lookup"),
@@ -175,6 +193,7 @@ def question_context(
         F.lit(1).alias("rank"),
         "affected_tables",
         "affected_columns",
+        "details",
     )
     lookup = entries.unionByName(effects, allowMissingColumns=True)
     joined = routed.select(question_id, "intent", *_LOOKUP).join(lookup, _LOOKUP, "left")
@@ -196,6 +215,9 @@ def question_context(
         "transformation",
         or_none_found("affected_tables", F.lit(0)),
         or_none_found("affected_columns", F.lit(0)),
+        "job_id",
+        *_REST,
+        or_none_found("details", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<array<string>>"))),
     )
 
 

@@ -260,23 +260,36 @@ def validation_failures(df: DataFrame, rules: list[Rule], key: str = "policy_id"
     )
 
 
-def _counts(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, list[Rule]]:
-    """One row with the failures of each rule by severity, from one aggregate without a shuffle of rows."""
+def counted(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, list[Column], list[Rule]]:
+    """``df`` with a flag column per checked rule, the aggregates that count the flags, and the checked rules.
+
+    The aggregates serve an ``agg`` or, where the rows are written anyway, an ``observe`` of that write.
+    """
     row = Row(df)
     checked = _present(df, rules)
     flags, counts = [], [F.count(F.lit(1)).alias("total_records")]
     for i, rule in enumerate(checked):
         passed, severity, _ = rule.outcome(row)
-        flags += [(~passed).alias(f"f{i}"), (~passed & (severity == CRITICAL)).alias(f"c{i}")]
-        counts += [F.count_if(f"f{i}").alias(f"f{i}"), F.count_if(f"c{i}").alias(f"c{i}")]
-    any_failed = reduce(or_, [F.col(f"f{i}") for i in range(len(checked))], F.lit(False))
+        flags += [(~passed).alias(f"_f{i}"), (~passed & (severity == CRITICAL)).alias(f"_c{i}")]
+        counts += [F.count_if(f"_f{i}").alias(f"f{i}"), F.count_if(f"_c{i}").alias(f"c{i}")]
+    any_failed = reduce(or_, [F.col(f"_f{i}") for i in range(len(checked))], F.lit(False))
     counts.append(F.count_if(any_failed).alias("records_failed"))
-    return df.select(*flags).agg(*counts), checked
+    return df.select("*", *flags), counts, checked
+
+
+def _counts(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, list[Rule]]:
+    """One row with the failures of each rule by severity, from one aggregate without a shuffle of rows."""
+    flagged, counts, checked = counted(df, rules)
+    return flagged.agg(*counts), checked
 
 
 def validation_report(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row: counts of records, checks and failures, the pass rate, and whether it is acceptable."""
-    counts, checked = _counts(df, rules)
+    return report_of(*_counts(df, rules))
+
+
+def report_of(counts: DataFrame, checked: list[Rule]) -> DataFrame:
+    """The validation report from one row of the counts of :func:`counted`."""
     zero = F.lit(0).cast("bigint")
     failed = sum((F.col(f"f{i}") for i in range(len(checked))), zero)
     critical = sum((F.col(f"c{i}") for i in range(len(checked))), zero)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrytab.functions.transforms import TransformRegistry
+from ferrytab.operators import drilldown as dd
 from ferrytab.operators import lineage as ln
 from ferrytab.operators import progress as pg
 from ferrytab.operators import questions as qs
@@ -27,7 +28,8 @@ from ferrytab.operators.mapping import (
 from ferrytab.plans.fixtures import table, view
 from ferrytab.plans.migration import run_migration
 from ferrytab.sources import extract as ex
-from ferrytab.sources.staging import BLUE, GREEN, TargetField, Workspace
+from ferrytab.sources import ranges as rg
+from ferrytab.sources.staging import BLUE, GREEN, SLOT_BATCH, TargetField, Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +122,28 @@ def checksum_compare(spark, sf):
     return ex.compare_checksums(_order_checksums(spark, sf), _order_checksums(spark, sf, "order_rows_changed"))
 
 
+@query
+def key_ranges(spark, sf):
+    """Rows by the number of ranges of a text key that hold them, some keys being null; ranges are far from uneven."""
+    claims = view(spark, sf, "claims_master")
+    keyed = claims.select(F.when(F.col("status_cd") != "N", F.col("claim_id")).alias("key"))
+    ranges = rg.key_ranges(keyed, "key", 16)
+    hits = [r.predicate(F.col("key")).cast("int") for r in ranges]
+    counted = keyed.select(sum(hits, F.lit(0)).alias("ranges"), rg.range_number(F.col("key"), ranges).alias("_n"))
+    parts = counted.where("_n > 0").groupBy("ranges", "_n").agg(F.count(F.lit(1)).alias("rows"))
+    whole = counted.groupBy("ranges").agg(F.count(F.lit(1)).alias("rows"))
+    return whole.join(parts.groupBy("ranges").agg((F.max("rows") < 2 * F.avg("rows")).alias("even")), "ranges")
+
+
+@query
+def checksum_drilldown(spark, sf):
+    """Ranges of policy ids in which a damaged copy differs, with the rows of both sides."""
+    source, target = view(spark, sf, "recon_source"), view(spark, sf, "recon_target")
+    bounds = [f"POL-{i:06d}" for i in range(50, 6_000, 50)] + ["POL-", "POM"]
+    found = dd.drill_down(source, target, "policy_id", rg.ranges_of(bounds))
+    return found.ranges.select("low", "high", "source_rows", "target_rows")
+
+
 # -- staging and publishing --------------------------------------------------------------------
 
 
@@ -176,6 +200,14 @@ def loaded_rows(spark, sf):
     )
 
 
+@query
+def load_errors(spark, sf):
+    """Every refused value with its field and the reason."""
+    space = Workspace.temporary(spark)
+    space.load(map_entity(view(spark, sf, "policy_master"), POLICY_MAPPING), "policies", target=_POLICY_TARGET)
+    return space.load_errors("policies", shown=None).select("policy_id", F.inline("problems"))
+
+
 def _two_slots(spark, sf) -> Workspace:
     space = Workspace.temporary(spark)
     space.load(view(spark, sf, "recon_source"), "policies", BLUE)
@@ -526,12 +558,15 @@ def recon_schema_diff(spark, sf):
 _COMMIT = "c0ffee"
 
 
-def _lineage(spark, sf):
-    return ln.build_lineage(view(spark, sf, "policy_master"), POLICY_MAPPING, JOB, _COMMIT, NOW)
+def _lineage(spark, sf, records=None, name="policy_master", mapping=POLICY_MAPPING, job=JOB):
+    rows = view(spark, sf, name)
+    if records is not None:
+        rows = ln.rows_of_records(rows, mapping, records)
+    return ln.build_lineage(rows, mapping, job, _COMMIT, NOW)
 
 
-def _claim_lineage(spark, sf):
-    return ln.build_lineage(view(spark, sf, "claims_master"), CLAIM_MAPPING, "JOB-2", _COMMIT, NOW)
+def _claim_lineage(spark, sf, records=None):
+    return _lineage(spark, sf, records, "claims_master", CLAIM_MAPPING, "JOB-2")
 
 
 def _plain(lineage):
@@ -589,10 +624,7 @@ def lineage_filter(spark, sf):
     return found.select("record_id", "source_column", "source_value", "target_value")
 
 
-@query
-def lineage_map(spark, sf):
-    failures = rl.validation_failures(_mapped(spark, sf), rl.standard_rules(AS_OF))
-    maps = ln.data_map(_lineage(spark, sf), failures, JOB)
+def _shown_map(maps):
     failed = F.filter("fields", lambda f: ~f["validation_passed"])
     return maps.select(
         "job_id", "record_id", "total_fields", "entries", "validation_pass_rate",
@@ -603,6 +635,28 @@ def lineage_map(spark, sf):
     )
 
 
+@query
+def lineage_map(spark, sf):
+    source = view(spark, sf, "policy_master")
+    wide, present = ln.wide_rows(source, POLICY_MAPPING), ln.present_fields(source, POLICY_MAPPING)
+    return _shown_map(ln.data_map_of(wide, POLICY_MAPPING, present, rl.standard_rules(AS_OF), JOB, _COMMIT))
+
+
+@query
+def lineage_map_jobs(spark, sf):
+    """Data maps of two jobs from stored lineage, with the failures of both."""
+    space = Workspace.temporary(spark)
+    space.record(_lineage(spark, sf).unionByName(_claim_lineage(spark, sf)), "lineage_records")
+    claims = map_entity(view(spark, sf, "claims_master"), CLAIM_MAPPING)
+    failures = rl.validation_failures(_mapped(spark, sf), rl.standard_rules(AS_OF)).withColumn("job_id", F.lit(JOB))
+    others = rl.validation_failures(claims, rl.standard_rules(AS_OF), "claim_id").withColumn("job_id", F.lit("JOB-2"))
+    maps = _shown_map(ln.data_map(space.table("lineage_records"), failures.unionByName(others)))
+    return maps.groupBy("job_id").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("total_fields").alias("fields"), F.sum("entries").alias("entries"),
+        F.count_if(F.col("failed_fields") != "").alias("failing_records"),
+    )
+
+
 @query
 def lineage_docs(spark, sf):
     return ln.documents(_lineage(spark, sf))
@@ -630,7 +684,12 @@ def question_entities(spark, sf):
 @query
 def question_context(spark, sf):
     both = _lineage(spark, sf).unionByName(_claim_lineage(spark, sf))
-    return qs.question_context(view(spark, sf, "question_log"), both)
+
+    def fetch(records):
+        return _lineage(spark, sf, records).unionByName(_claim_lineage(spark, sf, records))
+
+    found = qs.question_context(view(spark, sf, "question_log"), both, fetch=fetch)
+    return found.withColumn("details", F.to_json("details"))
 
 
 @query
@@ -683,6 +742,48 @@ def migration_progress(spark, sf):
     )
 
 
+@query
+def migration_two_entities(spark, sf):
+    """What is recorded after one job has taken two entities, the second one twice."""
+    space = Workspace.temporary(spark)
+    run_migration(space, view(spark, sf, "policy_clean"), POLICY_MAPPING, BATCH_SIZE, as_of="2026-01-01", job_id=JOB)
+    claims = view(spark, sf, "claims_master")
+    for _ in range(2):
+        run_migration(space, claims, CLAIM_MAPPING, BATCH_SIZE, job_id=JOB, rules=[rl.not_null_rule("claim_id")])
+    lines = space.table("lineage_records").groupBy("target_table").agg(F.count(F.lit(1)).alias("entries"))
+    jobs = space.table("migration_jobs").select("entity_type", "status", "total_records", "processed_records")
+    named = lines.withColumn("entity_type", F.substring_index("target_table", "_", -1)).drop("target_table")
+    return jobs.join(named, "entity_type", "left")
+
+
+@query
+def migration_checksums(spark, sf):
+    """The batches of a job: rows, and whether both checksums are there and those of its staged and loaded rows."""
+    space, source = Workspace.temporary(spark), view(spark, sf, "policy_clean")
+    run_migration(space, source, POLICY_MAPPING, BATCH_SIZE, as_of="2026-01-01", job_id=JOB)
+    staged = ex.with_batches(ex.number_rows(space.staged(JOB, "policies")), BATCH_SIZE)
+    loaded = space.loaded("policies", batches=True).withColumnRenamed(SLOT_BATCH, ex.BATCH)
+    sides = [
+        ex.batch_checksums(df, df.drop(ex.BATCH, ex.ROW_INDEX).columns, "xxhash64").select(ex.BATCH, F.col("checksum").alias(name))
+        for df, name in ((staged, "_s"), (loaded, "_t"))
+    ]
+    batches = space.table("migration_batches").join(sides[0], ex.BATCH, "left").join(sides[1], ex.BATCH, "left")
+    return batches.select(
+        ex.BATCH, "record_count", "status", (F.col("checksum_source") == F.col("_s")).alias("source_is_staged"),
+        (F.col("checksum_target") == F.col("_t")).alias("target_is_loaded"),
+    )
+
+
+@query
+def migration_durations(spark, sf):
+    """Per stage of a real job: batches timed, and whether their times sum up to the stage's own."""
+    space = Workspace.temporary(spark)
+    report = run_migration(space, view(spark, sf, "policy_clean"), POLICY_MAPPING, BATCH_SIZE, as_of="2026-01-01", job_id=JOB)
+    took = spark.createDataFrame([(s.name, s.duration_ms) for s in report.stages], "stage STRING, took BIGINT")
+    found = pg.stage_durations(space.table("migration_batches")).join(took, "stage")
+    return found.select("stage", "batches", (F.col("total_ms") == F.col("took")).alias("is_whole"))
+
+
 @query
 def migration_report(spark, sf):
     return _migration("policy_clean", spark, sf, auto_promote=True)

@@ -172,6 +172,15 @@ SELECT 'POL-' || CAST({_draw("policy", 100000, 999999)} AS VARCHAR) AS policy_id
        {_draw("riders", 0, 5)} AS rider_count, '2026-01-15' AS last_modified
 FROM orders"""
 
+_RANGE_LOW = "CASE WHEN n = 0 THEN 'POL-' ELSE 'POL-' || lpad(CAST(n * 50 AS VARCHAR), 6, '0') END"
+_RANGE_HIGH = "'POL-' || lpad(CAST((n + 1) * 50 AS VARCHAR), 6, '0')"
+_SIDE_ROWS = " UNION ALL ".join(
+    f"SELECT {side} AS side, (policy_id, holder, premium, status) AS r, CASE WHEN policy_id >= 'POL-' "
+    "THEN least(CAST(substr(policy_id, 5) AS BIGINT) // 50, 119) ELSE -1 END AS n "
+    f"FROM {name}"
+    for side, name in ((1, "recon_source"), (2, "recon_target"))
+)
+
 ORACLE: dict[str, str] = {
     "source_count": "SELECT count(*) AS row_count FROM orders WHERE o_totalprice > 100000",
     "extract_page": with_views(
@@ -210,6 +219,15 @@ ORACLE: dict[str, str] = {
         f"SELECT *, {_CHECKSUM} FROM (SELECT {_DIGEST_SUMS} FROM "
         f"(SELECT {_digest(_CLAIM_ORDER.split(', '))} AS digest FROM claims_master))",
     ),
+    "key_ranges": with_views(["claims_master"], "SELECT 1 AS ranges, count(*) AS rows, true AS even FROM claims_master"),
+    "checksum_drilldown": with_views(
+        ["recon_source", "recon_target"],
+        f"SELECT CASE WHEN n >= 0 THEN {_RANGE_LOW} END AS low, CASE WHEN n < 0 THEN 'POL-' WHEN n >= 119 THEN 'POM' ELSE {_RANGE_HIGH} END AS high, "
+        "source_rows, target_rows FROM (SELECT n, count(*) FILTER (side = 1) AS source_rows, "
+        "count(*) FILTER (side = 2) AS target_rows, "
+        "list(r ORDER BY r) FILTER (side = 1) IS DISTINCT FROM list(r ORDER BY r) FILTER (side = 2) AS differs "
+        f"FROM ({_SIDE_ROWS}) GROUP BY n) WHERE differs",
+    ),
     "checksum_compare": with_views(
         ["order_rows", "order_rows_changed"],
         "SELECT batch_number, s.checksum AS checksum_source, t.checksum AS checksum_target, "
@@ -242,7 +260,18 @@ def _live(step: str, slot: str, source: str) -> str:
     )
 
 
+_REFUSED = " UNION ALL ".join(
+    [
+        "SELECT policy_id, 'policy_id' AS field, CAST(NULL AS VARCHAR) AS value, 'required value is null' AS reason "
+        "FROM mapped WHERE policy_id IS NULL",
+        "SELECT policy_id, 'effective_date', NULL, 'required value is null' FROM mapped WHERE effective_date IS NULL",
+        "SELECT policy_id, 'effective_date', effective_date, 'does not fit date' FROM mapped "
+        "WHERE effective_date IS NOT NULL AND try_cast(effective_date AS DATE) IS NULL",
+    ]
+)
+
 ORACLE |= {
+    "load_errors": with_views(["policy_master"], "").rstrip() + f", mapped AS ({MAPPED}) {_REFUSED}",
     "stage_roundtrip": with_views(["policy_master"], _POLICY_BATCHES),
     "stage_list": with_views(
         ["policy_master"], f"SELECT batch_number, count(*) AS record_count FROM ({_POLICY_BATCHES}) GROUP BY 1"
@@ -680,6 +709,15 @@ ORACLE |= {
     "coalesce(string_agg(f.target_column, ',' ORDER BY f.target_column), '') AS failed_fields, "
     "string_agg(l.target_column || '=' || target_value, ';' ORDER BY l.target_column) AS transformed "
     "FROM lineage l LEFT JOIN failed f USING (record_id, target_column) GROUP BY 1, 2",
+    "lineage_map_jobs": with_views(["policy_master", "claims_master"], "").rstrip()
+    + f", mapped AS ({MAPPED}), lineage AS ({_POLICY_LINEAGE} UNION ALL {_CLAIM_LINEAGE}), "
+    f"claims AS ({mapped(CLAIM_MAPPING, 'claims_master')}), failed AS ("
+    f"SELECT DISTINCT '{JOB}' AS job_id, record_id FROM ({_FAILURES}) UNION SELECT 'JOB-2', claim_id FROM claims "
+    f"WHERE NOT coalesce(upper(status) IN ({listed(VALID_STATUSES)}), false) "
+    "OR NOT coalesce(regexp_full_match(policy_id, 'POL-[A-Z0-9]{6,10}'), false)) "
+    "SELECT job_id, count(DISTINCT record_id) AS records, count(DISTINCT (record_id, target_column)) AS fields, "
+    "count(*) AS entries, count(DISTINCT f.record_id) AS failing_records "
+    "FROM lineage l LEFT JOIN failed f USING (job_id, record_id) GROUP BY 1",
     "lineage_docs": _on_lineage(
         "SELECT lineage_id, 'Source: ' || source_table || '.' || source_column || ' → Target: ' || target_table || '.' "
         "|| target_column || ' Transform: ' || transformation || ' Job: ' || job_id AS document FROM lineage"
@@ -710,12 +748,13 @@ _ENTITIES = (
     f"'fast_' || {_KNOWN_TABLE} AS target_table, {_KNOWN_COLUMN} AS target_column FROM question_log"
 )
 _ENTRY = "record_id, source_table, source_column, target_table, target_column, transformation"
+_REST = "job_id, lineage_id, source_value, target_value, etl_commit_id"
 
 
 def _top(lookup: str, a: str, b: str, n: int) -> str:
     return (
-        f"SELECT '{lookup}' AS lookup, {a} AS a, {b} AS b, {_ENTRY}, row_number() OVER (PARTITION BY {a}, {b} "
-        f"ORDER BY {_ENTRY}) AS rank FROM lineage QUALIFY rank <= {n}"
+        f"SELECT '{lookup}' AS lookup, {a} AS a, {b} AS b, {_ENTRY}, {_REST}, row_number() OVER (PARTITION BY {a}, {b} "
+        f"ORDER BY {_ENTRY}, {_REST}) AS rank FROM lineage QUALIFY rank <= {n}"
     )
 
 
@@ -737,13 +776,15 @@ entries AS ({_top("backward", "target_table", "target_column", 10)} UNION ALL
             {_top("forward", "source_table", "source_column", 10)} UNION ALL
             {_top("record", "record_id", "''", 20)}),
 impacts AS (SELECT source_table AS a, source_column AS b, count(DISTINCT target_table) AS affected_tables,
-                   count(DISTINCT (target_table, target_column)) AS affected_columns FROM lineage GROUP BY 1, 2)
+                   count(DISTINCT (target_table, target_column)) AS affected_columns,
+                   '{{"' || min(target_table) || '":["' || string_agg(DISTINCT target_column, '","' ORDER BY target_column)
+                   || '"]}}' AS details FROM lineage GROUP BY 1, 2)
 SELECT question_id, intent, lookup, CAST(rank AS INTEGER) AS rank, {_ENTRY}, CAST(NULL AS BIGINT) AS affected_tables,
-       CAST(NULL AS BIGINT) AS affected_columns
+       CAST(NULL AS BIGINT) AS affected_columns, {_REST}, NULL AS details
 FROM asked JOIN entries USING (lookup, a, b)
 UNION ALL
 SELECT question_id, intent, lookup, 1, NULL, a, b, NULL, NULL, NULL, coalesce(affected_tables, 0),
-       coalesce(affected_columns, 0)
+       coalesce(affected_columns, 0), NULL, NULL, NULL, NULL, NULL, coalesce(details, '{{}}')
 FROM asked LEFT JOIN impacts USING (a, b) WHERE lookup = 'impact'"""
 
 ORACLE |= {
@@ -812,6 +853,23 @@ ORACLE |= {
         "CAST(count(*) AS BIGINT) AS total_records, CAST(count(*) AS BIGINT) AS processed_records, "
         "CAST(100 AS DOUBLE) AS progress_pct FROM policy_clean",
     ),
+    "migration_two_entities": with_views(
+        ["policy_clean", "claims_master"],
+        "SELECT 'policies' AS entity_type, 'completed' AS status, count(*) AS total_records, count(*) AS processed_records, "
+        f"count(*) * {len(POLICY_MAPPING.fields)} AS entries FROM policy_clean UNION ALL "
+        f"SELECT 'claims', 'completed', count(*), count(*), count(*) * {len(CLAIM_MAPPING.fields)} FROM claims_master",
+    ),
+    "migration_checksums": with_views(
+        ["policy_clean"],
+        f"SELECT batch_number, count(*) AS record_count, 'completed' AS status, true AS source_is_staged, "
+        f"true AS target_is_loaded FROM (SELECT (row_number() OVER (ORDER BY policy_id) - 1) // {BATCH_SIZE} AS batch_number "
+        "FROM policy_clean) GROUP BY 1",
+    ),
+    "migration_durations": with_views(
+        ["policy_clean"],
+        "SELECT stage, n AS batches, true AS is_whole FROM (SELECT unnest(['extract', 'transform', 'load']) AS stage), "
+        f"(SELECT (count(*) + {BATCH_SIZE - 1}) // {BATCH_SIZE} AS n FROM policy_clean)",
+    ),
     "migration_report": _stages(
         ["policy_clean"],
         [

@@ -260,6 +260,15 @@ def digest_aggregates(digest: Column) -> list[Column]:
     ]
 
 
+def merged_digests() -> list[Column]:
+    """The aggregates that make the digests of a whole from those of its parts."""
+    return [
+        F.coalesce(F.sum("record_count"), F.lit(0)).alias("record_count"),
+        F.sum(F.col("digest_sum").cast("decimal(38,0)")).cast("string").alias("digest_sum"),
+        F.bit_xor("digest_xor").alias("digest_xor"),
+    ]
+
+
 def batch_checksums(batches: DataFrame, columns: list[str] | None = None, algorithm: str = "md5") -> DataFrame:
     """One row per batch: record_count, digest_sum, digest_xor and a checksum text of the three."""
     names = columns or [c for c in batches.columns if c not in (BATCH, ROW_INDEX, ROW_ID)]

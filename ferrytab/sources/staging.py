@@ -2,23 +2,23 @@
 
 A :class:`Workspace` is one database of the session catalog. Staged rows lie in one Parquet table per
 entity and stage, partitioned by job. The batch number is a column, not a directory: a table of many
-billion rows has millions of batches, and row-group statistics find a batch as well.
+billion rows has millions of batches, and row-group statistics find a batch as well. Metadata tables are
+kept in a commit log under the database's folder.
 """
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrytab import schemas
 from ferrytab.functions.text import column_type, find_column
 from ferrytab.session import scratch_path
+from ferrytab.sources.commits import Change, CommitLog
 from ferrytab.sources.extract import BATCH
 
 BLUE, GREEN = "blue", "green"
@@ -26,7 +26,14 @@ SLOTS = (BLUE, GREEN)
 # Fixed value: this many error details are shown; all of them stay in the error table.
 SHOWN_ERRORS = 100
 
+# Metadata tables whose rows belong to one job and entity.
+JOB_TABLES = ("migration_batches", "lineage_records", "reconciliation_results", "migration_jobs")
+
 _SLOT_PROPERTY = "ferrytab.slot"
+# Column of a slot that holds the batch a row came with; readers of the slot and of its view do not see it.
+SLOT_BATCH = "_ferrytab_batch"
+# Columns of the folders that a load writes: whether a row was refused, its problems, and its values as they came.
+_REFUSED, _PROBLEMS, _RAW = "_refused", "_problems", "_raw"
 
 
 @dataclass(frozen=True)
@@ -46,6 +53,9 @@ class Workspace:
         self.database = database
         place = f" LOCATION '{location}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
+        described = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE DATABASE {database}").collect()}
+        self.location = described["Location"].rstrip("/")
+        self.log = CommitLog(spark, f"{self.location}/_records")
 
     @classmethod
     def temporary(cls, spark: SparkSession) -> Workspace:
@@ -56,9 +66,13 @@ class Workspace:
         return f"{self.database}.{table}"
 
     def exists(self, table: str) -> bool:
+        if table in schemas.TABLES:
+            return bool(self.log.paths(table))
         return self.spark.catalog.tableExists(self.name(table))
 
     def table(self, table: str) -> DataFrame:
+        if table in schemas.TABLES:
+            return self.log.read(table, schemas.table_schema(table))
         return self.spark.table(self.name(table))
 
     def tables(self, prefix: str) -> list[str]:
@@ -74,6 +88,16 @@ class Workspace:
         if not self.exists(table):
             df.write.partitionBy(partition).format("parquet").saveAsTable(self.name(table))
             return
+        gives = self._widen(df, table)
+        wanted = self.table(table).schema
+        rows = [
+            (F.col(f"`{f.name}`") if f.name.lower() in gives else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in wanted
+        ]
+        df.select(*rows).write.insertInto(self.name(table))
+
+    def _widen(self, df: DataFrame, table: str) -> dict[str, T.StructField]:
+        """Add the columns of ``df`` that a table lacks; gives those of ``df`` by name in lower case."""
         has = {field.name.lower(): field.dataType for field in self.table(table).schema}
         gives = {field.name.lower(): field for field in df.schema}
         for name, field in gives.items():
@@ -83,28 +107,21 @@ class Workspace:
         if more := [field for name, field in gives.items() if name not in has]:
             columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in more)
             self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({columns})")
-        wanted = self.table(table).schema
-        rows = [
-            (F.col(f"`{f.name}`") if f.name.lower() in gives else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in wanted
-        ]
-        df.select(*rows).write.insertInto(self.name(table))
+        return gives
 
     def drop_job(self, table: str, job_id: str) -> None:
         """Remove a job's partition from a table, if both exist."""
         if self.exists(table):
-            value = job_id.replace("\\", "\\\\").replace("'", "\\'")
-            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (job_id = '{value}')")
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (job_id = '{_quoted(job_id)}')")
 
     def forget(self, job_id: str, entity: str) -> None:
-        """Remove what an earlier run of a job staged and recorded, so that it may run again.
+        """Remove what a job staged and recorded for an entity; other entities of the job keep theirs.
 
-        Archives and audit events stay.
+        Archives and audit events stay. A run that is repeated need not call this: it replaces what it writes.
         """
         for table in self.tables(f"staged__{entity}__".lower()):
             self.drop_job(table, job_id)
-        for table in ("migration_batches", "lineage_records", "reconciliation_results", "migration_jobs"):
-            self.drop_job(table, job_id)
+        self.log.commit([Change(table, job_id, entity, None) for table in JOB_TABLES])
 
     # -- staging -------------------------------------------------------------------------------
 
@@ -114,6 +131,25 @@ class Workspace:
         self.append(df.withColumn("job_id", F.lit(job_id)), table)
         return self.name(table)
 
+    def stage_once(self, df: DataFrame, job_id: str, entity: str, stage: str = "extract") -> int:
+        """Make rows the whole of what a job has staged for a stage; gives their number.
+
+        They are written to a new folder, and then the job's partition is moved to it. The number is counted while
+        they are written. Whoever stops before the move leaves what was staged before; to repeat it is safe.
+        """
+        table, path, seen = _staged(entity, stage), self.log.new_path("staged"), Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        empty = self.spark.createDataFrame([], df.schema).withColumn("job_id", F.lit(job_id))
+        if not self.exists(table):
+            empty.write.partitionBy("job_id").format("parquet").saveAsTable(self.name(table))
+        else:
+            self._widen(empty, table)
+        at = f"PARTITION (job_id = '{_quoted(job_id)}')"
+        self.spark.sql(f"ALTER TABLE {self.name(table)} ADD IF NOT EXISTS {at} LOCATION '{_quoted(path)}'")
+        self.spark.sql(f"ALTER TABLE {self.name(table)} {at} SET LOCATION '{_quoted(path)}'")
+        self.spark.catalog.refreshTable(self.name(table))
+        return seen.get["rows"]
+
     def staged(self, job_id: str, entity: str, stage: str = "extract") -> DataFrame:
         """Staged rows of a job; only the job's partition is read."""
         return self.table(_staged(entity, stage)).where(F.col("job_id") == job_id).drop("job_id")
@@ -155,48 +191,75 @@ class Workspace:
         """Write a table into a slot, replacing what the slot had. Gives a one-row load report.
 
         With ``target``, rows that lack a required value or hold one the type cannot take go to the
-        slot's error table instead. A dry run evaluates all rows and writes nothing.
+        slot's error table instead, with what was wrong with them. A dry run evaluates all rows and writes nothing.
+        A column named ``SLOT_BATCH`` stays out of sight of the slot's readers.
         """
         _check_slot(slot)
         if slot == self.live_slot(entity) and not dry_run:
             raise ValueError(f"Slot {slot} of {entity} is live")
-        fields = {field.name.lower(): field for field in target or []}
-        problems = [p for field in fields.values() if (p := _problem(df, field)) is not None]
-        bad = F.coalesce(reduce(or_, problems), F.lit(False)) if problems else F.lit(False)
-
-        def fitted(name: str) -> Column:
-            field = fields.get(name.lower())
-            column = F.col(name)
-            # The text form keeps a value that does not fit from stopping the write.
-            return column.cast("string").try_cast(field.type).alias(name) if field else column
-
-        good = df.where(~bad).select(*[fitted(c) for c in df.columns])
-        table, errors = _slot(entity, slot), f"{_slot(entity, slot)}__errors"
+        problems = _problems(df, target or [])
+        refused = F.size(problems) > 0
         if dry_run:
-            counts = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("errors")).first()
-            loaded, failed = counts["rows"] - counts["errors"], counts["errors"]
+            counts = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(refused).alias("errors")).first()
         else:
-            good.write.mode("overwrite").format("parquet").saveAsTable(self.name(table))
-            loaded, failed = self.table(table).count(), 0
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(errors)}")  # those of an earlier load
-            if problems:
-                df.where(bad).write.mode("overwrite").format("parquet").saveAsTable(self.name(errors))
-                failed = self.table(errors).count()
+            counts = self._route(df, _slot(entity, slot), problems, target or [])
         return self.spark.createDataFrame(
-            [(entity, slot, dry_run, loaded, failed)],
+            [(entity, slot, dry_run, counts["rows"] - counts["errors"], counts["errors"])],
             "entity STRING, slot STRING, dry_run BOOLEAN, total_loaded BIGINT, total_errors BIGINT",
         )
 
-    def load_errors(self, entity: str, slot: str = GREEN, shown: int = SHOWN_ERRORS) -> DataFrame:
-        """Up to ``shown`` rows that the last load left out; none if it had no errors.
+    def _route(self, df: DataFrame, table: str, problems: Column, target: list[TargetField]) -> dict[str, int]:
+        """Write good and refused rows in one pass to folders of their own, and put the slot's two tables on them.
 
-        The whole list is in the table ``<entity>__<slot>__errors``.
+        ``df`` is evaluated once: both folders are partitions of one write, which also counts their rows.
+        """
+        path, seen = self.log.new_path(table), Observation()
+        typed = fitted(df, target)
+        told = df.select("*", problems.alias(_PROBLEMS)).select("*", (F.size(_PROBLEMS) > 0).alias(_REFUSED))
+        refused = F.col(_REFUSED)
+        columns = [F.when(~refused, c).alias(name) for name, c in typed.items()]
+        raw = F.when(refused, F.struct(*[F.col(f"`{c}`") for c in df.columns if c != SLOT_BATCH]))
+        whole = told.select(*columns, raw.alias(_RAW), F.when(refused, F.col(_PROBLEMS)).alias(_PROBLEMS), _REFUSED)
+        counted = whole.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(refused).alias("errors"))
+        counted.write.partitionBy(_REFUSED).parquet(path)
+        counts = seen.get
+        good = T.StructType([f for f in whole.schema if f.name in typed])
+        kept = T.StructType([f for f in whole.schema if f.name in (_RAW, _PROBLEMS)])
+        self._place(table, good, f"{path}/{_REFUSED}=false")
+        self._drop_placed(f"{table}__errors")  # those of an earlier load
+        if counts["errors"]:
+            self._place(f"{table}__errors", kept, f"{path}/{_REFUSED}=true")
+        return counts
+
+    def _place(self, table: str, schema: T.StructType, path: str) -> None:
+        """Make a table over a folder; what the table had before goes."""
+        self._drop_placed(table)
+        self.log.files.make(path)  # a folder without rows is not written
+        self.spark.catalog.createTable(self.name(table), path, "parquet", schema)
+
+    def _drop_placed(self, table: str) -> None:
+        if self.spark.catalog.tableExists(self.name(table)):
+            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").where("col_name = 'Location'")
+            path = described.first()["data_type"]
+            self.spark.sql(f"DROP TABLE {self.name(table)}")
+            self.log.files.delete(path)
+
+    def load_errors(self, entity: str, slot: str = GREEN, shown: int | None = SHOWN_ERRORS) -> DataFrame:
+        """Up to ``shown`` rows that the last load left out (``None``: all); none if it had no errors.
+
+        The values as they came, and ``problems``: an array of field, value (as text) and reason.
         """
         errors = f"{_slot(entity, slot)}__errors"
-        return self.table(errors).limit(shown) if self.exists(errors) else self.loaded(entity, slot).limit(0)
+        if not self.exists(errors):
+            kind = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("field", "value", "reason")]))
+            return self.loaded(entity, slot).limit(0).withColumn("problems", F.lit(None).cast(kind))
+        rows = self.table(errors).select(f"{_RAW}.*", F.col(_PROBLEMS).alias("problems"))
+        return rows if shown is None else rows.limit(shown)
 
-    def loaded(self, entity: str, slot: str = GREEN) -> DataFrame:
-        return self.table(_slot(entity, slot))
+    def loaded(self, entity: str, slot: str = GREEN, batches: bool = False) -> DataFrame:
+        """What a slot holds; with ``batches`` also the batch that each row was loaded with, if it has one."""
+        rows = self.table(_slot(entity, slot))
+        return rows if batches else rows.drop(SLOT_BATCH)
 
     def live(self, entity: str) -> DataFrame:
         return self.table(entity)
@@ -213,9 +276,10 @@ class Workspace:
         _check_slot(slot)
         if not self.exists(_slot(entity, slot)):
             raise ValueError(f"Slot {slot} of {entity} holds nothing")
+        columns = ", ".join(f"`{c}`" for c in self.loaded(entity, slot).columns)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(entity)} TBLPROPERTIES ('{_SLOT_PROPERTY}' = '{slot}') "
-            f"AS SELECT * FROM {self.name(_slot(entity, slot))}"
+            f"AS SELECT {columns} FROM {self.name(_slot(entity, slot))}"
         )
 
     def discard(self, entity: str, slot: str = GREEN) -> None:
@@ -223,8 +287,8 @@ class Workspace:
         _check_slot(slot)
         if slot == self.live_slot(entity):
             raise ValueError(f"Slot {slot} of {entity} is live")
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(_slot(entity, slot))}")
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(_slot(entity, slot))}__errors")
+        self._drop_placed(_slot(entity, slot))
+        self._drop_placed(f"{_slot(entity, slot)}__errors")
 
     # -- rollback ------------------------------------------------------------------------------
 
@@ -275,8 +339,21 @@ class Workspace:
 
     def record(self, df: DataFrame, table: str) -> None:
         """Append rows to a metadata table; states it does not allow stop the write."""
-        partition = "job_id" if "job_id" in schemas.table_schema(table).fieldNames() else "entity_type"
-        self.append(schemas.conform(df, table), table, partition)
+        path = self.log.stage(schemas.conform(df, table), table)
+        self.log.commit([Change(table, None, None, uuid.uuid4().hex, path)])
+
+    def prepared(self, df: DataFrame, table: str, job_id: str, entity: str, part: str = "all") -> tuple[Change, int]:
+        """Rows of a metadata table written but not visible, and their number.
+
+        The change shows them, in place of the earlier rows of that part.
+        """
+        path, seen = self.log.new_path(table), Observation()
+        schemas.conform(df, table).observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        return Change(table, job_id, entity, part, path), seen.get["rows"]
+
+    def records(self, table: str, job_id: str, entity: str) -> DataFrame:
+        """What a job recorded for an entity; no other job's files are listed."""
+        return self.log.read(table, schemas.table_schema(table), job_id, entity)
 
     def audit(
         self, event_type: str, job_id: str, action: str, entity: str | None = None,
@@ -313,12 +390,42 @@ def _check_slot(slot: str) -> None:
         raise ValueError(f"Unknown slot: {slot}")
 
 
-def _problem(df: DataFrame, field: TargetField) -> Column | None:
-    """True for rows that the target field cannot take."""
-    if not find_column(df, field.name):
-        return F.lit(True) if field.required else None
-    column = F.col(field.name)
-    checks = [column.isNull()] if field.required else []
-    if column_type(df, field.name) != T.DataType.fromDDL(field.type):
-        checks.append(column.isNotNull() & column.cast("string").try_cast(field.type).isNull())
-    return reduce(or_, checks) if checks else None
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def fitted(df: DataFrame, target: list[TargetField]) -> dict[str, Column]:
+    """The columns of ``df`` by name, in the types of the target's fields; values that do not fit are null."""
+    fields = {field.name.lower(): field for field in target}
+
+    def column(name: str) -> Column:
+        field = fields.get(name.lower())
+        value = F.col(f"`{name}`")
+        # The text form keeps a value that does not fit from stopping the write.
+        return value.cast("string").try_cast(field.type) if field else value
+
+    return {name: column(name) for name in df.columns}
+
+
+def _problems(df: DataFrame, target: list[TargetField]) -> Column:
+    """Why the target cannot take a row: an array of field, value (as text) and reason, empty for a good row."""
+
+    def entry(field: TargetField, value: Column, reason: str) -> Column:
+        return F.struct(F.lit(field.name).alias("field"), value.alias("value"), F.lit(reason).alias("reason"))
+
+    found = []
+    for field in target:
+        nothing = F.lit(None).cast("string")
+        if not find_column(df, field.name):
+            if field.required:
+                found.append(entry(field, nothing, "no such column"))
+            continue
+        value = F.col(f"`{field.name}`")
+        if field.required:
+            found.append(F.when(value.isNull(), entry(field, nothing, "required value is null")))
+        if column_type(df, field.name) != T.DataType.fromDDL(field.type):
+            text = value.cast("string")
+            misfit = value.isNotNull() & text.try_cast(field.type).isNull()
+            found.append(F.when(misfit, entry(field, text, f"does not fit {field.type}")))
+    kind = "array<struct<field:string,value:string,reason:string>>"
+    return F.array_compact(F.array(*found)).cast(kind) if found else F.array().cast(kind)
