@@ -15,7 +15,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models reject go."""
     ship(spark)
-    return toxicity.drop_toxic(docs, toxicity.train(docs, read(spark, sf_dir, "labels"))).select(*COLUMNS)
+    bags = toxicity.word_bags(docs)
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), bags=bags)
+    return toxicity.drop_toxic(docs, model, bags).select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,7 +103,8 @@ def op6_passages(spark, sf):
 @query
 def op7_toxicity(spark, sf):
     docs = read(spark, sf, "documents")
-    scores = toxicity.score(docs, toxicity.train(docs, read(spark, sf, "labels")))
+    bags = toxicity.word_bags(docs)
+    scores = toxicity.score(docs, toxicity.train(docs, read(spark, sf, "labels"), bags=bags), bags)
     held_out = (toxicity.fold(F.col("doc_id")) == 0).alias("held_out")
     return scores.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

@@ -7,13 +7,12 @@ that holds expressions likelier in the toxic class scores high, however rare eac
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ferrytab.llm.common import landed, mixed
 
@@ -22,8 +21,8 @@ ORDER = 5
 #: Orders up to this one are counted over both classes together.
 SHARED = 2
 DISCOUNT = 0.75
-#: Characters of the texts that are read together, with the model's entries for their grams.
-CHUNK_CHARS = 1 << 23
+#: Characters of the texts, and different words, whose words are numbered together; words that are scored together.
+CHUNK_CHARS, CHUNK_WORDS, LOT_WORDS = 1 << 23, 1 << 16, 1 << 15
 #: Tells the hash of a context from that of a gram of the same characters.
 CONTEXT = np.uint64(0x5851F42D4C957F2D)
 #: Labelled documents on which the weights of the final score are fitted.
@@ -34,15 +33,24 @@ FOLDS = 5
 
 START, END = "\x02", "\x03"
 
+#: Counts, shares and weights by class: of the model without fold 4, on which weights are fitted, and of the one that scores.
+COLUMNS = ("toxic_fit", "ordinary_fit", "toxic", "ordinary")
+_PAIRS = (COLUMNS[:2], COLUMNS[2:])
+
 Arrays = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 class ToxicModel(NamedTuple):
-    """Written rows (``key``, ``toxic``, ``ordinary``) of all grams and contexts, and the weights of the document score."""
+    """Written rows (``key`` and ``COLUMNS``) of all grams and contexts, floors, and the weights of the document score.
+
+    ``scores`` are those of the words of ``bags``, on which the model was trained.
+    """
 
     entries: DataFrame
-    floor: float
+    floors: tuple[float, float]
     weights: np.ndarray
+    bags: DataFrame
+    scores: DataFrame
 
 
 def fold(doc_id: Column) -> Column:
@@ -50,50 +58,109 @@ def fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS, F.lit(0))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(``text``, ``toxic``) of documents outside the held-out fold; a repeated id is toxic if any of its labels says so."""
-    marks = labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) > 0)
-    marks = marks.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
-    return docs.where("text is not null").select("doc_id", "text").join(marks, "doc_id")
-
+def word_bags(docs: DataFrame) -> DataFrame:
+    """Written rows of the texts' words, in the order in which tasks read them: the only pass over the texts.
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """(``word``, ``toxic``, ``ordinary``): occurrences in rows (text, toxic) of each class."""
+    A document is (``chunk``, ``doc_id``, ``text_hash``, ``wide``, ``ids``, ``times``): the numbers of its different words in
+    the chunk, and how often it has each. A chunk is (``chunk``, ``words``): its words, lower-cased, letters and digits only; the
+    first one is empty and stands for all that have none. Numbers take two bytes, or four where ``wide``. A chunk
+    ends at ``CHUNK_CHARS`` characters or ``CHUNK_WORDS`` words, after the document that reaches them.
+    """
 
-    def count(batches: Iterator) -> Iterator:
+    def bag(batches: Iterator) -> Iterator:
         from collections import Counter
 
         import pyarrow as pa
+        from pyspark import TaskContext
+
+        names = ["chunk", "doc_id", "text_hash", "wide", "ids", "times", "words"]
+        clean, chunk = _cleaner(), TaskContext.get().partitionId() << 33
+        words, raw, chars = {"": 0}, {}, 0
+
+        def number(token: str) -> int:
+            return raw.setdefault(token, words.setdefault(clean("", token), len(words)))
 
-        def out(counts):
-            words = list(counts[0].keys() | counts[1].keys())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.string()), *(pa.array([counts[y][w] for w in words], pa.int64()) for y in (1, 0))],
-                ["word", "toxic", "ordinary"],
-            )
+        def vocabulary():
+            nothing = [pa.nulls(1, k) for k in (kind, pa.int64(), pa.bool_(), pa.binary(), pa.binary())]
+            listed = pa.array([list(words)], pa.list_(pa.string()))
+            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *nothing, listed], names)
 
-        raw = (Counter(), Counter())
+        kind = pa.int64()
         for batch in batches:
-            for text, toxic in zip(batch.column(0), batch.column(1)):
-                raw[toxic.as_py()].update(text.as_py().lower().split())
-                if len(raw[0]) + len(raw[1]) > 200_000:
-                    yield out(_cleaned(raw))
-                    raw = (Counter(), Counter())
-        yield out(_cleaned(raw))
+            kind = batch.column(0).type
+            start, chunks, bags = 0, [], []
+
+            def made(stop):
+                columns = [batch.column(0).slice(start, stop - start), batch.column(1).slice(start, stop - start)]
+                wide, ids, times = zip(*bags)
+                arrays = [pa.array(wide, pa.bool_()), pa.array(ids, pa.binary()), pa.array(times, pa.binary())]
+                nothing = pa.nulls(stop - start, pa.list_(pa.string()))
+                return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), *columns, *arrays, nothing], names)
+
+            for i, text in enumerate(batch.column(2)):
+                text = text.as_py() or ""
+                counts: Counter = Counter()
+                for token, n in Counter(text.lower().split()).items():
+                    at = raw.get(token)
+                    counts[number(token) if at is None else at] += n
+                wide = len(words) > 1 << 16 or max(counts.values(), default=0) >= 1 << 16
+                form = np.uint32 if wide else np.uint16
+                bags.append((wide, *(np.fromiter(x, form, len(counts)).tobytes() for x in (counts.keys(), counts.values()))))
+                chunks.append(chunk)
+                chars += len(text)
+                if chars >= CHUNK_CHARS or len(words) >= CHUNK_WORDS or len(bags) >= 1_024:
+                    yield made(i + 1)
+                    start, chunks, bags = i + 1, [], []
+                if chars >= CHUNK_CHARS or len(words) >= CHUNK_WORDS:
+                    yield vocabulary()
+                    chunk, words, raw, chars = chunk + 1, {"": 0}, {}, 0
+            if bags:
+                yield made(batch.num_rows)
+        if len(words) > 1 or chars or raw:
+            yield vocabulary()
+
+    slim = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"chunk long, doc_id {kind}, text_hash long, wide boolean, ids binary, times binary, words array<string>"
+    return landed(slim.mapInArrow(bag, schema), "bags")
+
+
+def _numbers(wide: bool, data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint32 if wide else np.uint16).astype(np.int64)
+
+
+def word_counts(bags: DataFrame, labels: DataFrame) -> DataFrame:
+    """(``word`` and ``COLUMNS``): occurrences in labelled documents of each class, without and with fold 4.
+
+    Fold 0 is left out; a repeated id is toxic if any of its labels says so.
+    """
+    marks = labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) > 0)
+    marks = marks.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
+    marks = marks.withColumn("last", (fold(F.col("doc_id")) == FOLDS - 1).cast("int"))
+    known = bags.where("ids is not null").join(marks, "doc_id").select("chunk", "wide", "ids", "times", "toxic", "last")
+
+    def count(table, chunk):
+        import pyarrow as pa
 
-    parts = rows.select("text", "toxic").mapInArrow(count, "word string, toxic long, ordinary long")
-    return parts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+        words = chunk.column("words")[0].as_py() if chunk.num_rows else []
+        sums = np.zeros((4, len(words)), np.int64)
+        for wide, ids, times, toxic, last in zip(*(table.column(c).to_pylist() for c in table.column_names[1:])):
+            at, n = _numbers(wide, ids), _numbers(wide, times)
+            sums[3 - toxic, at] += n
+            if not last:
+                sums[1 - toxic, at] += n
+        some = np.flatnonzero(sums[2] + sums[3])
+        some = some[some > 0]  # the first word is empty
+        return pa.table([pa.array([words[i] for i in some], pa.string()), *(pa.array(x[some]) for x in sums)], ["word", *COLUMNS])
 
+    schema = "word string, " + ", ".join(f"{c} long" for c in COLUMNS)
+    chunks = _vocabularies(bags).select(F.col("chunk").alias("of"), "words")
+    parts = known.groupBy("chunk").cogroup(chunks.groupBy("of")).applyInArrow(count, schema)
+    return parts.groupBy("word").agg(*[F.sum(c).alias(c) for c in COLUMNS])
 
-def _cleaned(raw):
-    from collections import Counter
 
-    clean, out = _cleaner(), (Counter(), Counter())
-    for y in (0, 1):
-        for word, n in raw[y].items():
-            if kept := clean("", word):
-                out[y][kept] += n
-    return out
+def _vocabularies(bags: DataFrame) -> DataFrame:
+    return bags.where("words is not null").select("chunk", "words")
 
 
 def _cleaner():
@@ -102,64 +169,59 @@ def _cleaner():
     return re.compile(r"[\W_]+").sub
 
 
-def gram_tables(words: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Of word counts: (``gram``, ``toxic``, ``ordinary``), the same of contexts, and the number of characters.
+def gram_tables(words: DataFrame) -> tuple[DataFrame, DataFrame, tuple[int, int]]:
+    """Of word counts: (``gram`` and ``COLUMNS``), the same of contexts, and the number of characters of either model.
 
     The first table holds a gram's discounted share of its context, the second the weight of the next
     lower order. The longest grams, and those at a word's start, count occurrences; lower orders count
-    the different characters before them, as Kneser and Ney do. All of it is aggregates of the words.
+    the different characters before them, as Kneser and Ney do: the grams one longer that end like them, since every
+    gram but a starting one has some. So all orders and both models come from one table of all grams.
     """
     word = F.concat(F.lit(START), F.col("word"), F.lit(END))
     spots = F.sequence(F.lit(2), F.length("padded"))
-    first = F.lit(ORDER - 1)
-    cut = F.transform(spots, lambda i: F.substring("padded", F.greatest(F.lit(1), i - first), F.least(i, F.lit(ORDER))))
-    top = (
-        words.select(word.alias("padded"), "toxic", "ordinary")
-        .select(F.explode(cut).alias("gram"), "toxic", "ordinary")
+    ending = F.transform(
+        spots,
+        lambda i: F.transform(
+            F.sequence(F.lit(2), F.least(i, F.lit(ORDER))), lambda size: F.substring("padded", i - size + 1, size)
+        ),
+    )
+    grams = (
+        words.select(word.alias("padded"), *COLUMNS)
+        .select(F.explode(F.flatten(ending)).alias("gram"), *COLUMNS)
         .groupBy("gram")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+        .agg(*[F.sum(c).alias(c) for c in COLUMNS])
+    )
+    grams = landed(grams, "toxic-grams")
+    size = F.length("gram")
+    met = {c: (F.col(c) > 0).cast("long") for c in COLUMNS}
+    both = {c: ((F.col(a) + F.col(b)) > 0).cast("long") for a, b in _PAIRS for c in (a, b)}
+    shorter = grams.groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(
+        *[F.sum(F.when(size - 1 <= SHARED, both[c]).otherwise(met[c])).alias(c) for c in COLUMNS]
+    )
+    summed = {c: F.col(a) + F.col(b) for a, b in _PAIRS for c in (a, b)}
+    starts = grams.where(F.col("gram").startswith(START) & (size < ORDER)).select(
+        "gram", *[F.when(size <= SHARED, summed[c]).otherwise(F.col(c)).alias(c) for c in COLUMNS]
+    )
+    level = shorter.unionByName(starts).unionByName(grams.where(size == ORDER))
+    level = landed(level.withColumn("context", F.expr("substring(gram, 1, length(gram) - 1)")), "toxic-orders")
+    by_context = level.groupBy("context").agg(
+        *[F.sum(c).alias(f"{c}_all") for c in COLUMNS],
+        *[F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_kinds") for c in COLUMNS],
+    )
+
+    def whole(c):
+        return F.col(f"{c}_all")
+
+    share = [
+        F.when(whole(c) > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / whole(c)).otherwise(0.0).alias(c) for c in COLUMNS
+    ]
+    weight = [F.when(whole(c) > 0, DISCOUNT * F.col(f"{c}_kinds") / whole(c)).otherwise(1.0).alias(c) for c in COLUMNS]
+    single = [F.count_if((size == 1) & ((F.col(a) + F.col(b)) > 0)) for a, b in _PAIRS]
+    return (
+        level.join(by_context, "context").select("gram", *share),
+        by_context.select(F.concat((F.length("context") + 1).cast("string"), "context").alias("gram"), *weight),
+        tuple(level.agg(*single).first()),
     )
-    top = landed(top, "toxic-grams")
-    shares, backoffs = [], []
-    level = top.where(F.length("gram") == ORDER)
-    for size in range(ORDER, 0, -1):
-        if size < ORDER:
-            shorter = level.withColumn("gram", F.expr("substring(gram, 2)")).groupBy("gram")
-            seen = [F.sum((F.col(c) > 0).cast("long")).alias(c) for c in ("toxic", "ordinary")]
-            if size == SHARED:
-                starts = top.where(F.length("gram") == size).select(
-                    "gram", *[(F.col("toxic") + F.col("ordinary")).alias(c) for c in ("toxic", "ordinary")]
-                )
-            else:
-                starts = top.where(F.length("gram") == size)
-            if size <= SHARED:
-                seen = [F.count("*").alias(c) for c in ("toxic", "ordinary")]
-            level = shorter.agg(*seen).unionByName(starts) if size > 1 else shorter.agg(*seen)
-            level = level.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-            level = landed(level, f"toxic-grams-{size}")
-        by_context = level.groupBy(F.expr(f"substring(gram, 1, {size - 1})").alias("context")).agg(
-            *[F.sum(c).alias(f"{c}_all") for c in ("toxic", "ordinary")],
-            *[F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_kinds") for c in ("toxic", "ordinary")],
-        )
-        share = [
-            F.when(F.col(f"{c}_all") > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"{c}_all")).otherwise(0.0).alias(c)
-            for c in ("toxic", "ordinary")
-        ]
-        weight = [
-            F.when(F.col(f"{c}_all") > 0, DISCOUNT * F.col(f"{c}_kinds") / F.col(f"{c}_all")).otherwise(1.0).alias(c)
-            for c in ("toxic", "ordinary")
-        ]
-        joined = level.withColumn("context", F.expr(f"substring(gram, 1, {size - 1})")).join(by_context, "context")
-        shares.append(joined.select("gram", *share))
-        backoffs.append(by_context.select(F.concat(F.lit(f"{size}"), "context").alias("gram"), *weight))
-    return _union(shares), _union(backoffs), level.count()
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -177,7 +239,7 @@ def _hashes(codes: np.ndarray, size: int) -> np.ndarray:
 
 
 def _keyed(rows: DataFrame, lead: bool) -> DataFrame:
-    """``rows`` (gram, toxic, ordinary) under the 64-bit hash ``key``. ``lead``: contexts, whose first character tells the order."""
+    """``rows`` (gram and ``COLUMNS``) under the 64-bit hash ``key``. ``lead``: contexts, whose first character tells the order."""
 
     def place(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -195,9 +257,9 @@ def _keyed(rows: DataFrame, lead: bool) -> DataFrame:
                 h[which] = _hashes(codes, size)[::size][: which.sum()] if size else mixed(np.zeros(1, np.uint64))[0]
             if lead:
                 h ^= CONTEXT
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *batch.columns[1:]], ["key", "toxic", "ordinary"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *batch.columns[1:]], ["key", *COLUMNS])
 
-    return rows.mapInArrow(place, "key long, toxic double, ordinary double")
+    return rows.mapInArrow(place, "key long, " + ", ".join(f"{c} double" for c in COLUMNS))
 
 
 def _spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -266,37 +328,14 @@ def word_scores(table: Arrays, floor: float, words: list[str]) -> np.ndarray:
     return scores
 
 
-def document_features(scores: np.ndarray) -> tuple[float, float, float]:
-    """Of word scores: their mean, the highest, and the evidence over the square root of the length."""
+def document_features(scores: np.ndarray, times: np.ndarray | None = None) -> tuple[float, float, float]:
+    """Of word scores and how often each word occurs: their mean, the highest, and the evidence over the root of the length."""
     if not len(scores):
         return 0.0, 0.0, 0.0
-    evidence = np.maximum(scores - EVIDENCE, 0.0).sum()
-    return float(scores.mean()), float(scores.max()), float(np.log1p(evidence / np.sqrt(len(scores))))
-
-
-class _Reader:
-    """Features of the texts of one chunk; words are scored in lots and remembered up to a limit."""
-
-    def __init__(self, table: Arrays, floor: float, limit: int = 1 << 18):
-        self.table, self.floor, self.limit, self.known = table, floor, limit, {}
-
-    def features(self, text: str) -> tuple[float, float, float]:
-        words = text.lower().split()
-        known = self.known
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > self.limit:
-                known.clear()
-                new = list(set(words))
-            known.update(zip(new, word_scores(self.table, self.floor, new).tolist()))
-        return document_features(np.fromiter(map(known.__getitem__, words), np.float64, len(words)))
-
-    def warm(self, texts: list[str]) -> None:
-        """Scores the new words of many short texts together."""
-        new = list({w for t in texts for w in t.lower().split() if w not in self.known})
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-        self.known.update(zip(new, word_scores(self.table, self.floor, new).tolist()))
+    times = np.ones(len(scores), np.int64) if times is None else times
+    n = times.sum()
+    evidence = (np.maximum(scores - EVIDENCE, 0.0) * times).sum()
+    return float((scores * times).sum() / n), float(scores.max()), float(np.log1p(evidence / np.sqrt(n)))
 
 
 def fit_weights(features: np.ndarray, toxic: np.ndarray, ridge: float = 0.05) -> np.ndarray:
@@ -323,116 +362,124 @@ def probability(weights: np.ndarray, features) -> float:
     return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> ToxicModel:
-    """The model of ``docs`` (doc_id, text) under ``labels`` (doc_id, toxic).
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, bags: DataFrame | None = None) -> ToxicModel:
+    """The model of ``docs`` (doc_id, text) under ``labels`` (doc_id, toxic); ``bags`` are :func:`word_bags` of them, if made.
 
     The four numbers that turn a document's features into a score are fitted on labelled rows of fold 4
     with counts of all labelled rows of folds 1 to 3, which have not seen them: the ``fit_rows`` that
-    come first by a hash. The model that scores counts folds 1 to 4. Fold 0 is held out of both. Without labels of both classes
-    every document gets one low score.
+    come first by a hash. The model that scores counts folds 1 to 4. Both are columns of one table. Fold 0 is held out of
+    both. Without labels of both classes every document gets one low score.
     """
-    last = fold(F.col("doc_id")) == FOLDS - 1
-    seen = landed(word_counts(labelled(docs, labels.where(~last))), "toxic-words")
-    rest = landed(word_counts(labelled(docs, labels.where(last))), "toxic-words-last")
-    both = seen.unionByName(rest).groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-    model = _counted(seen)
+    bags = word_bags(docs) if bags is None else bags
+    shares, backoffs, single = gram_tables(landed(word_counts(bags, labels), "toxic-words"))
+    entries = landed(_keyed(shares, False).unionByName(_keyed(backoffs, True)), "toxic-model")
+    model = ToxicModel(entries, tuple(1 / (n + 1) for n in single), np.zeros(10), bags, bags)
+    model = model._replace(scores=_word_scores(bags, model))
     chosen = labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) == FOLDS - 1)
-    chosen = chosen.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
+    chosen = chosen.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("mark"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     # At most ``fit_rows`` ids and labels, so the broadcast is bounded.
-    sample = docs.where("text is not null").where(fold(F.col("doc_id")) == FOLDS - 1).join(F.broadcast(chosen), "doc_id")
-    found = _scored(sample.select("doc_id", "text", "toxic"), model, "toxic", 1 + fit_rows // 512).collect()
+    sample = bags.where("ids is not null").join(F.broadcast(chosen), "doc_id")
+    found = _features(sample.withColumn("kept", F.col("mark").cast("long")), model.scores, "fit", "long").collect()
     features = np.array([row["features"] for row in found] or np.zeros((0, 3)))
-    toxic = np.array([row["toxic"] for row in found], float)
-    return _counted(landed(both, "toxic-words-all"))._replace(weights=fit_weights(features, toxic))
+    toxic = np.array([row["kept"] for row in found], float)
+    return model._replace(weights=fit_weights(features, toxic))
 
 
-def _counted(words: DataFrame) -> ToxicModel:
-    """The model of word counts, without weights."""
-    shares, backoffs, single = gram_tables(words)
-    entries = landed(_keyed(shares, False).unionByName(_keyed(backoffs, True)), "toxic-model")
-    return ToxicModel(entries, 1 / (single + 1), np.zeros(10))
+def _word_scores(bags: DataFrame, model: ToxicModel) -> DataFrame:
+    """Written rows (``chunk``, ``fit``, ``all``): scores of a chunk's words in their order, by either model, as bytes.
 
-
-def _read(docs: DataFrame, model: ToxicModel, finish: Callable, schema: str | T.StructType, chunks: int | None) -> DataFrame:
-    """``finish(rows, features)`` of the rows of ``docs`` in Arrow, chunk by chunk.
-
-    Documents are dealt to chunks of about ``CHUNK_CHARS`` characters by a hash of id and text. The keys of a
-    chunk's grams, each once, are joined with the model, and what is found goes to the chunk's
-    documents; so no task holds more of the model than its texts ask for. Both uses of the dealt
-    documents are one exchange where Spark reuses it.
+    Every word of the corpus is scored once. Words are dealt to lots; a lot asks for the model's entries of its grams by
+    a shuffled join, so no task holds more of the model than its words need. The scores go to the chunks by
+    a join on the word.
     """
-    if chunks is None:
-        chunks = 1 + (docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0) // CHUNK_CHARS
-    keys = [F.col(c) for c in ("doc_id", "text") if c in docs.columns]
-    dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64(*keys), F.lit(chunks)).cast("long"))
-    floor = model.floor
+    places = _vocabularies(bags).select("chunk", F.posexplode("words").alias("place", "word"))
+    words = landed(places.groupBy("word").agg(F.lit(0).alias("_")).select("word"), "words")
+    lots = 1 + words.count() // LOT_WORDS
+    dealt = words.withColumn("lot", F.pmod(F.xxhash64("word"), F.lit(lots)))
+    floors = model.floors
 
     def spell(table):
         import pyarrow as pa
 
-        texts, found = table.column("text"), np.empty(0, np.uint64)
-        words, chars = set(), 0
-        for i, text in enumerate(texts):
-            text = text.as_py() or ""
-            words.update(text.lower().split())
-            chars += len(text)
-            if chars > 2_000_000 or i == len(texts) - 1:
-                found = np.union1d(found, needed_keys(list(words)))
-                words, chars = set(), 0
-        chunk = pa.repeat(table.column("_chunk")[0], len(found))
-        return pa.table([chunk, pa.array(found.view(np.int64))], ["_chunk", "key"])
-
-    def read(table, entries):
+        keys = needed_keys(table.column("word").to_pylist())
+        return pa.table([pa.repeat(table.column("lot")[0], len(keys)), pa.array(keys.view(np.int64))], ["lot", "key"])
+
+    def rate(table, entries):
+        import pyarrow as pa
+
         key = entries.column("key").to_numpy().view(np.uint64)
         order = np.argsort(key)
-        reader = _Reader((key[order], *(entries.column(c).to_numpy()[order] for c in ("toxic", "ordinary"))), floor)
-        texts, features = table.column("text"), []
-        for at in range(0, len(texts), 256):
-            lot = [t or "" for t in texts.slice(at, 256).to_pylist()]
-            if sum(map(len, lot)) < 2_000_000:
-                reader.warm(lot)
-            features += [reader.features(t) for t in lot]
-        return finish(table, features)
+        listed = table.column("word").to_pylist()
+        values = [entries.column(c).to_numpy()[order] for c in COLUMNS]
+        rated = [word_scores((key[order], *values[2 * i : 2 * i + 2]), floors[i], listed) for i in (0, 1)]
+        return pa.table([table.column("word"), *map(pa.array, rated)], ["word", "fit", "all"])
 
-    asked = dealt.groupBy("_chunk").applyInArrow(spell, "_chunk long, key long")
-    found = asked.join(model.entries, "key").select("_chunk", "key", "toxic", "ordinary")
-    return dealt.groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInArrow(read, schema)
+    asked = dealt.groupBy("lot").applyInArrow(spell, "lot long, key long")
+    found = asked.join(model.entries, "key").select("lot", "key", *COLUMNS)
+    scored = dealt.groupBy("lot").cogroup(found.groupBy("lot")).applyInArrow(rate, "word string, fit double, all double")
 
+    def gather(table):
+        import pyarrow as pa
 
-def _scored(rows: DataFrame, model: ToxicModel, keep: str, chunks: int | None = None) -> DataFrame:
-    kind = rows.schema[keep].dataType.simpleString()
+        order = np.argsort(table.column("place").to_numpy())
+        rated = [table.column(c).to_numpy()[order].tobytes() for c in ("fit", "all")]
+        return pa.table([table.column("chunk").slice(0, 1), *(pa.array([r], pa.binary()) for r in rated)], ["chunk", "fit", "all"])
 
-    def finish(table, features):
-        import pyarrow as pa
+    joined = places.join(scored, "word").select("chunk", "place", "fit", "all")
+    return landed(joined.groupBy("chunk").applyInArrow(gather, "chunk long, fit binary, all binary"), "word-scores")
 
-        found = pa.array([list(f) for f in features], pa.list_(pa.float64()))
-        return pa.table([table.column(keep), found], [keep, "features"])
 
-    slim = rows.select(*dict.fromkeys(c for c in ("doc_id", "text", keep) if c in rows.columns))
-    return _read(slim, model, finish, f"{keep} {kind}, features array<double>", chunks)
+def _features(rows: DataFrame, scores: DataFrame, which: str, kind: str) -> DataFrame:
+    """(``kept``, ``text_hash``, ``features``) of bag rows (chunk, wide, ids, times, text_hash, kept)."""
 
+    def read(table, chunk):
+        import pyarrow as pa
 
-def score(docs: DataFrame, model: ToxicModel, keep: str = "doc_id") -> DataFrame:
-    """(``keep``, ``score``) of every row of ``docs``: 0 to 1, higher if toxic is likelier.
+        rated = np.frombuffer(chunk.column(which)[0].as_py(), np.float64) if chunk.num_rows else np.zeros(1)
+        found = []
+        for wide, ids, times in zip(*(table.column(c).to_pylist() for c in ("wide", "ids", "times"))):
+            found.append(list(document_features(rated[_numbers(wide, ids)], _numbers(wide, times))))
+        features = pa.array(found, pa.list_(pa.float64()))
+        return pa.table([table.column("kept"), table.column("text_hash"), features], ["kept", "text_hash", "features"])
 
-    Texts are read whole. Null and empty texts have no words and get the score of none.
-    """
+    slim = rows.select("chunk", "wide", "ids", "times", "text_hash", "kept")
+    dealt = slim.groupBy("chunk").cogroup(scores.select("chunk", which).groupBy("chunk"))
+    return dealt.applyInArrow(read, f"kept {kind}, text_hash long, features array<double>")
+
+
+def _scored(docs: DataFrame, model: ToxicModel, bags: DataFrame | None) -> DataFrame:
+    """(``doc_id``, ``text_hash``, ``score``) of every row of ``docs``."""
+    bags = word_bags(docs) if bags is None else bags
+    scores = model.scores if bags is model.bags else _word_scores(bags, model)
+    rows = bags.where("ids is not null").withColumn("kept", F.col("doc_id"))
+    found = _features(rows, scores, "all", bags.schema["doc_id"].dataType.simpleString())
     w = [float(x) for x in model.weights]
     z = F.lit(w[0])
     for i in range(3):
         z = z + (F.col("features")[i] - w[4 + i]) / w[7 + i] * w[1 + i]
     bounded = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))
-    return _scored(docs, model, keep).select(keep, (1 / (1 + F.exp(-bounded))).alias("score"))
+    return found.select(F.col("kept").alias("doc_id"), "text_hash", (1 / (1 + F.exp(-bounded))).alias("score"))
 
 
-def drop_toxic(docs: DataFrame, model: ToxicModel) -> DataFrame:
-    """``docs`` without those that score 0.5 or more; columns and texts of the others stay as they are."""
-    weights, columns = model.weights, docs.columns
+def score(docs: DataFrame, model: ToxicModel, bags: DataFrame | None = None) -> DataFrame:
+    """(``doc_id``, ``score``) of every row of ``docs``: 0 to 1, higher if toxic is likelier.
 
-    def finish(table, features):
-        import pyarrow as pa
+    Texts are read whole, once: with the ``bags`` that the model was trained on, not again. Null and empty texts have no
+    words and get the score of none. A document is dealt with its word numbers, not its text.
+    """
+    return _scored(docs, model, bags).select("doc_id", "score")
 
-        return table.select(columns).filter(pa.array([probability(weights, f) < 0.5 for f in features], pa.bool_()))
 
-    return _read(docs, model, finish, docs.schema, None)
+def drop_toxic(docs: DataFrame, model: ToxicModel, bags: DataFrame | None = None) -> DataFrame:
+    """``docs`` without those that score 0.5 or more; columns, of any names, and texts of the others stay as they are.
+
+    The rejected ones are told by id and a hash of the text, so texts are moved only where Spark finds the rejected too many
+    to send to all tasks.
+    """
+    columns = docs.columns
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
+    rejected = landed(_scored(docs, model, bags).where("score >= 0.5").select("doc_id", "text_hash").distinct(), "rejected")
+    gone = rejected.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    same = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("_row.text")) == F.col("_hash"))
+    return packed.join(gone, same, "left_anti").select("_row.*")
