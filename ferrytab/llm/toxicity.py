@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,8 @@ DISCOUNT = 0.75
 CHUNK_CHARS, CHUNK_WORDS, LOT_WORDS = 1 << 23, 1 << 16, 1 << 15
 #: Tells the hash of a context from that of a gram of the same characters.
 CONTEXT = np.uint64(0x5851F42D4C957F2D)
+#: Entries of a model that goes whole to every task (48 bytes each), and labelled ids that do; beyond that both are dealt.
+MODEL_ROWS, LABEL_ROWS = 1 << 20, 1 << 20
 #: Labelled documents on which the weights of the final score are fitted.
 FIT_ROWS = 8_192
 #: What a word's score must pass to count as evidence.
@@ -43,14 +46,13 @@ Arrays = tuple[np.ndarray, np.ndarray, np.ndarray]
 class ToxicModel(NamedTuple):
     """Written rows (``key`` and ``COLUMNS``) of all grams and contexts, floors, and the weights of the document score.
 
-    ``scores`` are those of the words of ``bags``, on which the model was trained.
+    ``small`` is a broadcast of the entries in order of their keys, of a model with up to ``MODEL_ROWS`` of them.
     """
 
     entries: DataFrame
     floors: tuple[float, float]
     weights: np.ndarray
-    bags: DataFrame
-    scores: DataFrame
+    small: Broadcast | None
 
 
 def fold(doc_id: Column) -> Column:
@@ -59,7 +61,7 @@ def fold(doc_id: Column) -> Column:
 
 
 def word_bags(docs: DataFrame) -> DataFrame:
-    """Written rows of the texts' words, in the order in which tasks read them: the only pass over the texts.
+    """Written rows of the texts' words, in the order in which tasks read them.
 
     A document is (``chunk``, ``doc_id``, ``text_hash``, ``wide``, ``ids``, ``times``): the numbers of its different words in
     the chunk, and how often it has each. A chunk is (``chunk``, ``words``): its words, lower-cased, letters and digits only; the
@@ -129,33 +131,52 @@ def _numbers(wide: bool, data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint32 if wide else np.uint16).astype(np.int64)
 
 
-def word_counts(bags: DataFrame, labels: DataFrame) -> DataFrame:
-    """(``word`` and ``COLUMNS``): occurrences in labelled documents of each class, without and with fold 4.
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(``text``, ``toxic``, ``last``) of documents outside the held-out fold; ``last`` marks fold 4.
 
-    Fold 0 is left out; a repeated id is toxic if any of its labels says so.
+    A repeated id is toxic if any of its labels says so. Up to ``LABEL_ROWS`` ids go to every task, so that texts
+    stay where they are; more are joined by a shuffle.
     """
     marks = labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) > 0)
     marks = marks.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
-    marks = marks.withColumn("last", (fold(F.col("doc_id")) == FOLDS - 1).cast("int"))
-    known = bags.where("ids is not null").join(marks, "doc_id").select("chunk", "wide", "ids", "times", "toxic", "last")
+    marks = landed(marks.withColumn("last", (fold(F.col("doc_id")) == FOLDS - 1).cast("int")), "labels")
+    few = marks.count() <= LABEL_ROWS
+    return docs.where("text is not null").select("doc_id", "text").join(F.broadcast(marks) if few else marks, "doc_id")
+
+
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(``word`` and ``COLUMNS``): occurrences in rows (text, toxic, last) of each class, without and with fold 4."""
+
+    def count(batches: Iterator) -> Iterator:
+        from collections import Counter
 
-    def count(table, chunk):
         import pyarrow as pa
 
-        words = chunk.column("words")[0].as_py() if chunk.num_rows else []
-        sums = np.zeros((4, len(words)), np.int64)
-        for wide, ids, times, toxic, last in zip(*(table.column(c).to_pylist() for c in table.column_names[1:])):
-            at, n = _numbers(wide, ids), _numbers(wide, times)
-            sums[3 - toxic, at] += n
-            if not last:
-                sums[1 - toxic, at] += n
-        some = np.flatnonzero(sums[2] + sums[3])
-        some = some[some > 0]  # the first word is empty
-        return pa.table([pa.array([words[i] for i in some], pa.string()), *(pa.array(x[some]) for x in sums)], ["word", *COLUMNS])
+        clean = _cleaner()
+
+        def out():
+            words: dict[str, list[int]] = {}
+            for (toxic, last), counts in raw.items():
+                for token, n in counts.items():
+                    if word := clean("", token):
+                        sums = words.setdefault(word, [0, 0, 0, 0])
+                        sums[3 - toxic] += n
+                        if not last:
+                            sums[1 - toxic] += n
+            columns = zip(*words.values()) if words else [[]] * 4
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array(c, pa.int64()) for c in columns)], ["word", *COLUMNS])
+
+        raw = {(y, z): Counter() for y in (0, 1) for z in (0, 1)}
+        for batch in batches:
+            for text, toxic, last in zip(*(batch.column(i) for i in range(3))):
+                raw[toxic.as_py(), last.as_py()].update(text.as_py().lower().split())
+                if sum(map(len, raw.values())) > 200_000:
+                    yield out()
+                    raw = {key: Counter() for key in raw}
+        yield out()
 
     schema = "word string, " + ", ".join(f"{c} long" for c in COLUMNS)
-    chunks = _vocabularies(bags).select(F.col("chunk").alias("of"), "words")
-    parts = known.groupBy("chunk").cogroup(chunks.groupBy("of")).applyInArrow(count, schema)
+    parts = rows.select("text", "toxic", "last").mapInArrow(count, schema)
     return parts.groupBy("word").agg(*[F.sum(c).alias(c) for c in COLUMNS])
 
 
@@ -362,32 +383,91 @@ def probability(weights: np.ndarray, features) -> float:
     return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, bags: DataFrame | None = None) -> ToxicModel:
-    """The model of ``docs`` (doc_id, text) under ``labels`` (doc_id, toxic); ``bags`` are :func:`word_bags` of them, if made.
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> ToxicModel:
+    """The model of ``docs`` (doc_id, text) under ``labels`` (doc_id, toxic).
 
     The four numbers that turn a document's features into a score are fitted on labelled rows of fold 4
     with counts of all labelled rows of folds 1 to 3, which have not seen them: the ``fit_rows`` that
     come first by a hash. The model that scores counts folds 1 to 4. Both are columns of one table. Fold 0 is held out of
     both. Without labels of both classes every document gets one low score.
     """
-    bags = word_bags(docs) if bags is None else bags
-    shares, backoffs, single = gram_tables(landed(word_counts(bags, labels), "toxic-words"))
+    shares, backoffs, single = gram_tables(landed(word_counts(labelled(docs, labels)), "toxic-words"))
     entries = landed(_keyed(shares, False).unionByName(_keyed(backoffs, True)), "toxic-model")
-    model = ToxicModel(entries, tuple(1 / (n + 1) for n in single), np.zeros(10), bags, bags)
-    model = model._replace(scores=_word_scores(bags, model))
+    small = None
+    if entries.count() <= MODEL_ROWS:
+        table = entries.toArrow()
+        key = table.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        arrays = (key[order], *(table.column(c).to_numpy()[order] for c in COLUMNS))
+        small = docs.sparkSession.sparkContext.broadcast(arrays)
+    model = ToxicModel(entries, tuple(1 / (n + 1) for n in single), np.zeros(10), small)
     chosen = labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) == FOLDS - 1)
     chosen = chosen.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("mark"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     # At most ``fit_rows`` ids and labels, so the broadcast is bounded.
-    sample = bags.where("ids is not null").join(F.broadcast(chosen), "doc_id")
-    found = _features(sample.withColumn("kept", F.col("mark").cast("long")), model.scores, "fit", "long").collect()
+    sample = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = _document_features(sample.select(F.col("mark").cast("long").alias("doc_id"), "text"), model, 0).collect()
     features = np.array([row["features"] for row in found] or np.zeros((0, 3)))
-    toxic = np.array([row["kept"] for row in found], float)
+    toxic = np.array([row["doc_id"] for row in found], float)
     return model._replace(weights=fit_weights(features, toxic))
 
 
-def _word_scores(bags: DataFrame, model: ToxicModel) -> DataFrame:
-    """Written rows (``chunk``, ``fit``, ``all``): scores of a chunk's words in their order, by either model, as bytes.
+class _Reader:
+    """Features of texts by a model that is at hand; words are scored in lots and remembered up to a limit."""
+
+    def __init__(self, arrays: tuple, which: int, floor: float, limit: int = 1 << 18) -> None:
+        self.table, self.floor = (arrays[0], *arrays[1 + 2 * which : 3 + 2 * which]), floor
+        self.limit, self.known = limit, {}
+
+    def features(self, texts: list[str]) -> list[tuple[float, float, float]]:
+        """Of several texts; their new words are scored together."""
+        from collections import Counter
+
+        counted = [Counter(text.lower().split()) for text in texts]
+        new = [w for w in set().union(*counted) if w not in self.known]
+        if len(self.known) + len(new) > self.limit:
+            self.known, new = {}, list(set().union(*counted))
+        self.known.update(zip(new, word_scores(self.table, self.floor, new).tolist()))
+        known = self.known.__getitem__
+        return [
+            document_features(np.fromiter(map(known, c), np.float64, len(c)), np.fromiter(c.values(), np.int64, len(c)))
+            for c in counted
+        ]
+
+    def of(self, column) -> list[tuple[float, float, float]]:
+        """Of a column of texts, about 2 million characters or one text at a time; null is an empty text."""
+        out, lot, chars = [], [], 0
+        for text in column:
+            lot.append(text.as_py() or "")
+            chars += len(lot[-1])
+            if chars >= 2_000_000:
+                out += self.features(lot)
+                lot, chars = [], 0
+        return out + (self.features(lot) if lot else [])
+
+
+def _document_features(docs: DataFrame, model: ToxicModel, which: int) -> DataFrame:
+    """(``doc_id``, ``text_hash``, ``features``) of documents (doc_id, text) by the model that fits (0) or scores (1)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    if model.small is None:
+        bags = word_bags(docs)
+        return _features(bags, _word_scores(bags, model, which), kind)
+    small, floor = model.small, model.floors[which]
+
+    def read(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        reader = _Reader(small.value, which, floor)
+        for batch in batches:
+            features = pa.array([list(f) for f in reader.of(batch.column(2))], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), features], ["doc_id", "text_hash", "features"])
+
+    slim = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return slim.mapInArrow(read, f"doc_id {kind}, text_hash long, features array<double>")
+
+
+def _word_scores(bags: DataFrame, model: ToxicModel, which: int) -> DataFrame:
+    """Written rows (``chunk``, ``scores``): scores of a chunk's words in their order, as bytes.
 
     Every word of the corpus is scored once. Words are dealt to lots; a lot asks for the model's entries of its grams by
     a shuffled join, so no task holds more of the model than its words need. The scores go to the chunks by
@@ -397,7 +477,7 @@ def _word_scores(bags: DataFrame, model: ToxicModel) -> DataFrame:
     words = landed(places.groupBy("word").agg(F.lit(0).alias("_")).select("word"), "words")
     lots = 1 + words.count() // LOT_WORDS
     dealt = words.withColumn("lot", F.pmod(F.xxhash64("word"), F.lit(lots)))
-    floors = model.floors
+    floor, pair = model.floors[which], _PAIRS[which]
 
     def spell(table):
         import pyarrow as pa
@@ -410,76 +490,85 @@ def _word_scores(bags: DataFrame, model: ToxicModel) -> DataFrame:
 
         key = entries.column("key").to_numpy().view(np.uint64)
         order = np.argsort(key)
-        listed = table.column("word").to_pylist()
-        values = [entries.column(c).to_numpy()[order] for c in COLUMNS]
-        rated = [word_scores((key[order], *values[2 * i : 2 * i + 2]), floors[i], listed) for i in (0, 1)]
-        return pa.table([table.column("word"), *map(pa.array, rated)], ["word", "fit", "all"])
+        values = [entries.column(c).to_numpy()[order] for c in pair]
+        rated = word_scores((key[order], *values), floor, table.column("word").to_pylist())
+        return pa.table([table.column("word"), pa.array(rated)], ["word", "score"])
 
     asked = dealt.groupBy("lot").applyInArrow(spell, "lot long, key long")
-    found = asked.join(model.entries, "key").select("lot", "key", *COLUMNS)
-    scored = dealt.groupBy("lot").cogroup(found.groupBy("lot")).applyInArrow(rate, "word string, fit double, all double")
+    found = asked.join(model.entries, "key").select("lot", "key", *pair)
+    scored = dealt.groupBy("lot").cogroup(found.groupBy("lot")).applyInArrow(rate, "word string, score double")
 
     def gather(table):
         import pyarrow as pa
 
         order = np.argsort(table.column("place").to_numpy())
-        rated = [table.column(c).to_numpy()[order].tobytes() for c in ("fit", "all")]
-        return pa.table([table.column("chunk").slice(0, 1), *(pa.array([r], pa.binary()) for r in rated)], ["chunk", "fit", "all"])
+        rated = table.column("score").to_numpy()[order].tobytes()
+        return pa.table([table.column("chunk").slice(0, 1), pa.array([rated], pa.binary())], ["chunk", "scores"])
 
-    joined = places.join(scored, "word").select("chunk", "place", "fit", "all")
-    return landed(joined.groupBy("chunk").applyInArrow(gather, "chunk long, fit binary, all binary"), "word-scores")
+    joined = places.join(scored, "word").select("chunk", "place", "score")
+    return landed(joined.groupBy("chunk").applyInArrow(gather, "chunk long, scores binary"), "word-scores")
 
 
-def _features(rows: DataFrame, scores: DataFrame, which: str, kind: str) -> DataFrame:
-    """(``kept``, ``text_hash``, ``features``) of bag rows (chunk, wide, ids, times, text_hash, kept)."""
+def _features(bags: DataFrame, scores: DataFrame, kind: str) -> DataFrame:
+    """(``doc_id``, ``text_hash``, ``features``) of the documents of :func:`word_bags`."""
 
     def read(table, chunk):
         import pyarrow as pa
 
-        rated = np.frombuffer(chunk.column(which)[0].as_py(), np.float64) if chunk.num_rows else np.zeros(1)
+        rated = np.frombuffer(chunk.column("scores")[0].as_py(), np.float64) if chunk.num_rows else np.zeros(1)
         found = []
         for wide, ids, times in zip(*(table.column(c).to_pylist() for c in ("wide", "ids", "times"))):
             found.append(list(document_features(rated[_numbers(wide, ids)], _numbers(wide, times))))
         features = pa.array(found, pa.list_(pa.float64()))
-        return pa.table([table.column("kept"), table.column("text_hash"), features], ["kept", "text_hash", "features"])
+        return pa.table([table.column("doc_id"), table.column("text_hash"), features], ["doc_id", "text_hash", "features"])
 
-    slim = rows.select("chunk", "wide", "ids", "times", "text_hash", "kept")
-    dealt = slim.groupBy("chunk").cogroup(scores.select("chunk", which).groupBy("chunk"))
-    return dealt.applyInArrow(read, f"kept {kind}, text_hash long, features array<double>")
+    rows = bags.where("ids is not null").select("chunk", "wide", "ids", "times", "text_hash", "doc_id")
+    dealt = rows.groupBy("chunk").cogroup(scores.groupBy("chunk"))
+    return dealt.applyInArrow(read, f"doc_id {kind}, text_hash long, features array<double>")
 
 
-def _scored(docs: DataFrame, model: ToxicModel, bags: DataFrame | None) -> DataFrame:
+def _scored(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """(``doc_id``, ``text_hash``, ``score``) of every row of ``docs``."""
-    bags = word_bags(docs) if bags is None else bags
-    scores = model.scores if bags is model.bags else _word_scores(bags, model)
-    rows = bags.where("ids is not null").withColumn("kept", F.col("doc_id"))
-    found = _features(rows, scores, "all", bags.schema["doc_id"].dataType.simpleString())
     w = [float(x) for x in model.weights]
     z = F.lit(w[0])
     for i in range(3):
         z = z + (F.col("features")[i] - w[4 + i]) / w[7 + i] * w[1 + i]
     bounded = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))
-    return found.select(F.col("kept").alias("doc_id"), "text_hash", (1 / (1 + F.exp(-bounded))).alias("score"))
+    return _document_features(docs, model, 1).select("doc_id", "text_hash", (1 / (1 + F.exp(-bounded))).alias("score"))
 
 
-def score(docs: DataFrame, model: ToxicModel, bags: DataFrame | None = None) -> DataFrame:
+def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """(``doc_id``, ``score``) of every row of ``docs``: 0 to 1, higher if toxic is likelier.
 
-    Texts are read whole, once: with the ``bags`` that the model was trained on, not again. Null and empty texts have no
-    words and get the score of none. A document is dealt with its word numbers, not its text.
+    Texts are read whole, where they lie: with the whole model at hand if it has up to ``MODEL_ROWS`` entries, else as word
+    numbers that are dealt to the scores of their words. Both give the same scores. Null and empty texts have no words and
+    get the score of none.
     """
-    return _scored(docs, model, bags).select("doc_id", "score")
+    return _scored(docs, model).select("doc_id", "score")
 
 
-def drop_toxic(docs: DataFrame, model: ToxicModel, bags: DataFrame | None = None) -> DataFrame:
+def drop_toxic(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """``docs`` without those that score 0.5 or more; columns, of any names, and texts of the others stay as they are.
 
-    The rejected ones are told by id and a hash of the text, so texts are moved only where Spark finds the rejected too many
-    to send to all tasks.
+    A model at hand filters rows where they lie. Otherwise the rejected ones are told by id and a hash of the text, and texts
+    are moved where Spark finds the rejected too many to send to all tasks.
     """
-    columns = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
-    rejected = landed(_scored(docs, model, bags).where("score >= 0.5").select("doc_id", "text_hash").distinct(), "rejected")
+    if model.small is not None:
+        small, floor, weights = model.small, model.floors[1], model.weights
+        at = docs.columns.index("text")
+
+        def keep(batches: Iterator) -> Iterator:
+            import pyarrow as pa
+
+            reader = _Reader(small.value, 1, floor)
+            for batch in batches:
+                kept = batch.filter(pa.array([probability(weights, f) < 0.5 for f in reader.of(batch.column(at))], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(kept.columns, columns)
+
+        columns = docs.columns
+        return docs.toDF(*[f"c{i}" for i in range(len(columns))]).mapInArrow(keep, docs.schema)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    rejected = landed(_scored(docs, model).where("score >= 0.5").select("doc_id", "text_hash").distinct(), "rejected")
     gone = rejected.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     same = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("_row.text")) == F.col("_hash"))
     return packed.join(gone, same, "left_anti").select("_row.*")

@@ -165,7 +165,11 @@ def test_few_long_documents_meet_their_budget():
         assert sum(s * k for s, k in taken.items()) == max(x for x in sums if x <= budget)
 
 
-def test_toxicity_on_held_out_documents(session, frame):
+@pytest.mark.parametrize("dealt", [False, True])
+def test_toxicity_on_held_out_documents(session, frame, monkeypatch, dealt):
+    if dealt:  # as with a model and labels too large for every task
+        for name, value in (("MODEL_ROWS", 0), ("LABEL_ROWS", 0), ("CHUNK_CHARS", 4_000), ("LOT_WORDS", 20)):
+            monkeypatch.setattr(toxicity, name, value)
     chance = random.Random(6)
     usual, bad = [f"plain{i}" for i in range(60)], ["vilewretch", "foulmouthed", "scumbagger"]
     rows, marks = [], []
@@ -185,8 +189,16 @@ def test_toxicity_on_held_out_documents(session, frame):
     held = [r for r in found if r["doc_id"] is not None and r["doc_id"] in truth]
     assert np.mean([(r["score"] >= 0.5) == bool(truth[r["doc_id"]]) for r in held]) > 0.99
     assert all(r["score"] < 0.5 for r in found if r["doc_id"] in (5_000, 5_001, None))
-    kept = {r["doc_id"] for r in toxicity.drop_toxic(docs, model).collect()}
-    assert kept == {r["doc_id"] for r in found if r["score"] < 0.5}
+    clashing = docs
+    for name in ("_id", "_hash", "_row", "_chunk", "chunk", "features", "a.b"):
+        clashing = clashing.withColumn(name, F.lit(1))
+    kept = toxicity.drop_toxic(clashing, model)
+    assert kept.columns == clashing.columns
+    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in found if r["score"] < 0.5}
+    assert kept.count() == sum(r["score"] < 0.5 for r in found)
+    assert toxicity.score(frame([]), model).count() == toxicity.drop_toxic(frame([]), model).count() == 0
+    long = frame([(1, "plain1 " * 60_000 + "x" * 90_000), (1, "plain1"), (1, "plain1")])
+    assert toxicity.score(long, model).count() == 3
 
 
 def test_toxicity_without_labels(session, frame):
