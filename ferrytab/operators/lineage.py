@@ -42,8 +42,8 @@ def rows_of_records(
 ) -> DataFrame:
     """The source rows whose lineage has a ``record_id`` that ``records`` has; only the key's transform runs on the others."""
     registry = registry or TransformRegistry()
-    kind = registry.get(mapping.key.transform).returns if mapping.key.transform else column_type(df, mapping.key.source_column)
-    record = shown(mapped_column(df, mapping.key, registry), kind)
+    key = mapped_column(df, mapping.key, registry)
+    record = shown(key, df.select(key).schema[0].dataType)
     wanted = records.select(F.col("record_id").alias("_record")).distinct()
     return df.join(wanted, record == F.col("_record"), "left_semi")
 

@@ -6,16 +6,23 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ferrytab.functions.expressions import compile_rule
 from ferrytab.functions.text import column_type, find_column, is_numeric
 from ferrytab.functions.transforms import TransformRegistry
-from ferrytab.operators.rules import Rule, not_null_rule
+from ferrytab.operators.rules import CRITICAL, Row, Rule, not_null_rule
 from ferrytab.schemas import table_schema
 
 
 @dataclass(frozen=True)
 class FieldMapping:
-    """One source column, the target field it becomes, and the transform on the way."""
+    """One source column, the target field it becomes, and the transform on the way.
+
+    ``transform`` is the name of a registered transform, or the text of an expression over the row's source columns in which
+    ``value`` is the field's own. ``rule`` is the text of a condition on the target fields, likewise. ``target_type`` is what
+    the result becomes; values that do not fit are null. Texts are checked by :func:`compile_rule`.
+    """
 
     source_column: str
     target_field: str
@@ -23,6 +30,9 @@ class FieldMapping:
     is_key: bool = False
     is_required: bool = False
     default: str | None = None
+    source_type: str | None = None
+    target_type: str | None = None
+    rule: str | None = None
 
 
 @dataclass(frozen=True)
@@ -45,6 +55,24 @@ class EntityMapping:
         """A critical not-null rule for every required target field."""
         return [not_null_rule(field.target_field) for field in self.fields if field.is_required]
 
+    def stored_rules(self, severity: str = CRITICAL) -> list[Rule]:
+        """A rule for every field that has the text of one; a text that is refused stops here, before any row is read."""
+        targets = {field.target_field.lower(): field.target_field for field in self.fields}
+
+        def rule(field: FieldMapping) -> Rule:
+            def check(row: Row) -> Column:
+                def name(asked: str) -> Column | None:
+                    known = field.target_field if asked == "value" else targets.get(asked.lower())
+                    return row.value(known) if known and row.has(known) else None
+
+                return compile_rule(field.rule, name)
+
+            allowed = {"value", *targets}
+            compile_rule(field.rule, lambda asked: F.col(asked) if asked.lower() in allowed else None)
+            return Rule(f"{field.target_field}_rule", field.target_field, check, severity, field.rule, "Rule not met: {}")
+
+        return [rule(field) for field in self.fields if field.rule]
+
 
 # The two standard mappings.
 POLICY_MAPPING = EntityMapping(
@@ -82,14 +110,33 @@ CLAIM_MAPPING = EntityMapping(
 def mapped_column(df: DataFrame, field: FieldMapping, registry: TransformRegistry | None = None) -> Column:
     """The target column of one mapping. A default takes the type of the column it fills."""
     column, kind = F.col(field.source_column), column_type(df, field.source_column)
-    if field.transform:
-        chosen = (registry or TransformRegistry()).get(field.transform)
+    registry = registry or TransformRegistry()
+    if field.transform in registry.names():
+        chosen = registry.get(field.transform)
         column, kind = chosen.build(column, kind), chosen.returns
+    elif field.transform:
+        column, kind = _by_text(df, field), None
+    if field.target_type:
+        column, kind = column.try_cast(field.target_type), T.DataType.fromDDL(field.target_type)
+    if kind is None:
+        kind = df.select(column.alias("_")).schema[0].dataType
     if field.default is not None:
         column = F.coalesce(column, F.lit(field.default).cast(kind))
     return column.alias(field.target_field)
 
 
+def _by_text(df: DataFrame, field: FieldMapping) -> Column:
+    """The column of a transform that is the text of an expression; a word that is no transform is said to be one that is unknown."""
+    if field.transform.isidentifier():
+        raise ValueError(f"Unknown transform: {field.transform}")
+
+    def name(asked: str) -> Column | None:
+        known = find_column(df, field.source_column if asked == "value" else asked)
+        return F.col(known) if known else None
+
+    return compile_rule(field.transform, name)
+
+
 def map_entity(
     df: DataFrame,
     mapping: EntityMapping,
@@ -109,8 +156,8 @@ def mapping_rows(spark: SparkSession, mapping: EntityMapping) -> DataFrame:
     """The mapping as rows of the ``entity_mappings`` table."""
     rows = [
         (
-            mapping.entity_type, mapping.source_table, field.source_column, None, field.target_field, None,
-            field.transform, None, field.is_required, field.is_key, field.default,
+            mapping.entity_type, mapping.source_table, field.source_column, field.source_type, field.target_field,
+            field.target_type, field.transform, field.rule, field.is_required, field.is_key, field.default,
         )
         for field in mapping.fields
     ]
@@ -134,6 +181,9 @@ def read_mapping(rows: DataFrame, entity_type: str, target_table: str) -> Entity
                 bool(row["is_key_field"]),
                 bool(row["is_required"]),
                 row["default_value"],
+                row["source_data_type"],
+                row["target_data_type"],
+                row["validation_rule"],
             )
             for row in found
         ),

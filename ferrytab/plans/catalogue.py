@@ -16,6 +16,7 @@ from ferrytab.operators import progress as pg
 from ferrytab.operators import questions as qs
 from ferrytab.operators import reconcile as rc
 from ferrytab.operators import rules as rl
+from ferrytab.operators import search as sr
 from ferrytab.operators.mapping import (
     CLAIM_MAPPING,
     POLICY_MAPPING,
@@ -23,6 +24,8 @@ from ferrytab.operators.mapping import (
     FieldMapping,
     change_statistics,
     map_entity,
+    mapping_rows,
+    read_mapping,
     transform_columns,
 )
 from ferrytab.plans.fixtures import table, view
@@ -114,7 +117,7 @@ def combined_checksum(spark, sf):
 
 @query
 def table_checksum(spark, sf):
-    return ex.table_checksum(view(spark, sf, "claims_master"))
+    return ex.table_checksum(view(spark, sf, "claims_master"), algorithm="md5")  # as any engine computes it
 
 
 @query
@@ -300,6 +303,38 @@ def map_defaults(spark, sf):
     return map_entity(view(spark, sf, "probes"), _DEFAULTS)
 
 
+#: A mapping whose transforms and rules are texts, as they stand in the mapping table.
+STORED_MAPPING = EntityMapping(
+    "policies",
+    "db2_policies",
+    "fast_policies",
+    (
+        FieldMapping("POLICY_ID", "policy_id", "trim_string", is_key=True, rule="matches(value, '^POL-[0-9]{6}$')"),
+        FieldMapping("PREM_AMT", "premium_cents", "round(float(value) * 100)", target_type="bigint", rule="0 < value <= 500000"),
+        FieldMapping("STATUS_CD", "status", "upper(strip(value))", source_type="string", rule="value in ['A', 'L', '3']"),
+        FieldMapping("PROD_TYP", "product", "concat(strip(prod_typ), '-', status_cd)", rule="len(value) > 8 or status == 'A'"),
+        FieldMapping("EFF_DT", "effective_date", "db2_date_to_iso", target_type="date", rule="value is not None"),
+    ),
+)
+
+
+def _read_back(spark):
+    space = Workspace.temporary(spark)
+    space.record(mapping_rows(spark, STORED_MAPPING), "entity_mappings")
+    return read_mapping(space.table("entity_mappings"), "policies", "fast_policies")
+
+
+@query
+def mapping_roundtrip(spark, sf):
+    return map_entity(view(spark, sf, "policy_master"), _read_back(spark))
+
+
+@query
+def validate_from_mapping(spark, sf):
+    mapping = _read_back(spark)
+    return rl.failures_by_rule(map_entity(view(spark, sf, "policy_master"), mapping), mapping.stored_rules())
+
+
 @query
 def map_required(spark, sf):
     mapped = map_entity(view(spark, sf, "probes"), _DEFAULTS)
@@ -662,6 +697,13 @@ def lineage_docs(spark, sf):
     return ln.documents(_lineage(spark, sf))
 
 
+@query
+def lineage_search(spark, sf):
+    """The five lineage documents that fit each question best."""
+    index = sr.text_index(ln.documents(_lineage(spark, sf).unionByName(_claim_lineage(spark, sf))))
+    return sr.search_text(view(spark, sf, "question_log"), index)
+
+
 # -- questions ---------------------------------------------------------------------------------
 
 

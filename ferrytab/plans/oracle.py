@@ -934,3 +934,49 @@ ORACLE |= {
         + ") WHERE ms IS NOT NULL GROUP BY 1, 2",
     ),
 }
+
+# -- texts: stored mappings and lineage documents ----------------------------------------------
+
+_STORED = (
+    "SELECT trim(policy_id) AS policy_id, CAST(round(try_cast(prem_amt AS DOUBLE) * 100) AS BIGINT) AS premium_cents, "
+    "upper(trim(status_cd)) AS status, trim(prod_typ) || '-' || status_cd AS product, "
+    f"try_cast({_TRANSFORMS['db2_date_to_iso']('eff_dt')} AS DATE) AS effective_date FROM policy_master"
+)
+_STORED_RULES = {
+    "policy_id": "regexp_matches(policy_id, '^POL-[0-9]{6}$')",
+    "premium_cents": "premium_cents > 0 AND premium_cents <= 500000",
+    "status": "status IN ('A', 'L', '3')",
+    "product": "length(product) > 8 OR status = 'A'",
+    "effective_date": "effective_date IS NOT NULL",
+}
+_TERMS = "regexp_extract_all(lower({}), '[a-z0-9]+')"
+
+ORACLE |= {
+    "mapping_roundtrip": with_views(["policy_master"], _STORED),
+    "validate_from_mapping": with_views(
+        ["policy_master"],
+        "SELECT * FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{name}_rule' AS rule_name, 'critical' AS severity, count(*) FILTER (NOT coalesce({condition}, false)) "
+            f"AS failures FROM ({_STORED})"
+            for name, condition in _STORED_RULES.items()
+        )
+        + ") WHERE failures > 0",
+    ),
+    "lineage_search": with_views(["policy_master", "claims_master", "question_log"], "").rstrip()
+    + f", lineage AS ({_POLICY_LINEAGE} UNION ALL {_CLAIM_LINEAGE}), "
+    "texts AS (SELECT document, count(*) AS entries FROM (SELECT 'Source: ' || source_table || '.' || source_column || "
+    "' → Target: ' || target_table || '.' || target_column || ' Transform: ' || transformation || ' Job: ' || job_id "
+    "AS document FROM lineage) GROUP BY 1), "
+    f"terms AS (SELECT document, unnest({_TERMS.format('document')}) AS term FROM texts), "
+    "sized AS (SELECT document, count(*) AS n FROM terms GROUP BY 1), "
+    "whole AS (SELECT (SELECT count(*) FROM texts) AS d, avg(n) AS mean FROM sized), "
+    "tf AS (SELECT document, term, count(*) AS f FROM terms GROUP BY 1, 2), "
+    "df AS (SELECT term, count(*) AS h FROM tf GROUP BY 1), "
+    f"asked AS (SELECT DISTINCT question_id, unnest({_TERMS.format('question')}) AS term FROM question_log), "
+    "scored AS (SELECT question_id, document, round(sum(ln(1 + (d - h + 0.5) / (h + 0.5)) * f * 2.2 / "
+    "(f + 1.2 * (0.25 + 0.75 * n / mean))), 9) AS score "
+    "FROM asked JOIN tf USING (term) JOIN df USING (term) JOIN sized USING (document), whole GROUP BY 1, 2) "
+    "SELECT question_id, CAST(row_number() OVER (PARTITION BY question_id ORDER BY score DESC, document) AS INTEGER) AS rank, "
+    "document, entries, score FROM scored JOIN texts USING (document) QUALIFY rank <= 5",
+}

@@ -230,7 +230,7 @@ def page_of(landed: DataFrame, batch_number: int, batch_size: int = DEFAULT_BATC
 # -- checksums ---------------------------------------------------------------------------------
 
 
-def row_digest(df: DataFrame, columns: list[str] | None = None, algorithm: str = "md5") -> Column:
+def row_digest(df: DataFrame, columns: list[str] | None = None, algorithm: str = "xxhash64") -> Column:
     """64-bit digest of a row over its columns in name order.
 
     Each value goes in with its length and null has its own mark, so two different rows never give
@@ -269,7 +269,7 @@ def merged_digests() -> list[Column]:
     ]
 
 
-def batch_checksums(batches: DataFrame, columns: list[str] | None = None, algorithm: str = "md5") -> DataFrame:
+def batch_checksums(batches: DataFrame, columns: list[str] | None = None, algorithm: str = "xxhash64") -> DataFrame:
     """One row per batch: record_count, digest_sum, digest_xor and a checksum text of the three."""
     names = columns or [c for c in batches.columns if c not in (BATCH, ROW_INDEX, ROW_ID)]
     digested = batches.select(BATCH, row_digest(batches, names, algorithm).alias("_digest"))
@@ -281,7 +281,7 @@ def with_checksum(summary: DataFrame) -> DataFrame:
     return summary.withColumn("checksum", F.md5(F.concat_ws("|", *parts)))
 
 
-def table_checksum(df: DataFrame, columns: list[str] | None = None, algorithm: str = "md5") -> DataFrame:
+def table_checksum(df: DataFrame, columns: list[str] | None = None, algorithm: str = "xxhash64") -> DataFrame:
     """One-row checksum of a whole table, whatever the order of its rows."""
     digested = df.select(row_digest(df, columns, algorithm).alias("_digest"))
     return with_checksum(digested.agg(*digest_aggregates(F.col("_digest"))))
