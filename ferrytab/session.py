@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+#: Paths that the innermost open scope owns; ``None`` outside of all scopes.
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
 
 def local_session(cores: int | str = 8, app: str = "ferrytab") -> SparkSession:
     """A session for tests and local benchmarks; on a cluster use the session you are given."""
@@ -39,5 +45,27 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below :func:`scratch_dir`; nothing is created."""
-    return os.path.join(scratch_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    """A new path below :func:`scratch_dir`; nothing is created. The innermost open :func:`scratch_scope` owns it."""
+    path = os.path.join(scratch_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are removed when the block ends, however it ends.
+
+    Frames made inside must be written or collected inside: they read these tables. Until then the tables stay, so a
+    lost executor costs a read. Without a scope they stay until their folder is emptied. An inner scope removes its own.
+    """
+    mark = _OWNED.set([])
+    try:
+        yield
+    finally:
+        owned = _OWNED.get() or []
+        _OWNED.reset(mark)
+        for path in owned:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
