@@ -35,6 +35,23 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: The column in which :func:`packed` puts what an operator does not look at.
+EXTRA = "_ferrytab_extra"
+
+
+def packed(docs: DataFrame, names: list[str]) -> DataFrame:
+    """The columns ``names``, and all others in one struct, so that an operator's own columns clash with none of them."""
+    others = [c for c in docs.columns if c not in names]
+    extra = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]) if others else F.lit(None).cast("int")
+    return docs.select(*[F.col(f"`{c}`") for c in names], extra.alias(EXTRA))
+
+
+def unpacked_columns(docs: DataFrame, names: list[str]) -> list[Column]:
+    """The columns of ``docs`` in their order, from rows of :func:`packed`."""
+    places = {c: i for i, c in enumerate(c for c in docs.columns if c not in names)}
+    return [F.col(f"{EXTRA}.c{places[c]}").alias(c) if c in places else F.col(f"`{c}`") for c in docs.columns]
+
+
 def ship(spark: SparkSession) -> None:
     """Let the Python workers import this package, where it is not installed on their machines."""
     context = spark.sparkContext

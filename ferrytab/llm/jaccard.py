@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrytab.llm.common import WORD, WordHashes, grams, landed, mixed
+from ferrytab.llm.common import WORD, WordHashes, grams, landed, mixed, packed, unpacked_columns
 from ferrytab.llm.graph import components
 
 #: Words of a shingle; documents link if ``PERCENT`` of the union of their sets is common.
@@ -364,6 +364,7 @@ def keep_one_of_each(docs: DataFrame, percent: int = PERCENT, size: int = SHINGL
     columns. Of rows with one text only the first can stay, so they are cut to it in every task before
     texts are shuffled: a group of copies sends one row per task.
     """
+    whole, docs = docs, packed(docs, ["doc_id", "text"])
     last = F.lit((1 << 63) - 1)
     key, tag = F.coalesce(F.col("doc_id").cast("long"), last), F.xxhash64("text")
     placed = placed_documents(docs, percent, size)
@@ -374,4 +375,5 @@ def keep_one_of_each(docs: DataFrame, percent: int = PERCENT, size: int = SHINGL
     order = F.struct(key, F.to_json(F.struct(*others)) if others else F.lit(""))
     rows = docs.select(own.alias("_own"), order.alias("_order"), F.struct(*docs.columns).alias("_row"))
     one = rows.groupBy("_own").agg(F.min_by("_row", "_order").alias("_row"))
-    return one.join(first, "_own", "left_semi").select("_row.*")
+    kept = one.join(first, "_own", "left_semi").select("_row.*")
+    return kept.select(*unpacked_columns(whole, ["doc_id", "text"]))

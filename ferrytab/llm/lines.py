@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferrytab.llm.common import landed
+from ferrytab.llm.common import landed, packed, unpacked_columns
 
 #: Leading tokens that a line must share with a template.
 DEPTH = 3
@@ -126,6 +126,8 @@ def drop_template_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS)
     in a third of all documents costs one row per task; the join that marks its uses may split it.
     Lines to drop are gathered per document, which is no larger than the document.
     """
+    whole = docs.drop("n_lines", "n_dropped")
+    docs = packed(whole, ["doc_id", "text"])
     uses = landed(template_uses(docs), "line-templates")
     place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
     recurring = (
@@ -143,6 +145,6 @@ def drop_template_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS)
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
     lines = F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, 0).otherwise(F.size(F.split("text", "\n", -1)))
     gone = F.coalesce(F.col("_gone"), F.array().cast("array<int>"))
-    out = docs.drop("n_lines", "n_dropped").join(dropped, same, "left").withColumn("n_lines", lines.cast("long"))
+    out = docs.join(dropped, same, "left").withColumn("n_lines", lines.cast("long"))
     out = out.withColumn("n_dropped", F.size(gone).cast("long")).withColumn("text", _without_lines("text", gone))
-    return out.drop("_id", "_hash", "_gone")
+    return out.select(*unpacked_columns(whole, ["doc_id", "text"]), "n_lines", "n_dropped")

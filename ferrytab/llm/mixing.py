@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ferrytab.llm.common import landed, word_count
+from ferrytab.llm.common import landed, packed, unpacked_columns, word_count
 
 #: Weights given to the sources in order, again and again.
 WEIGHTS = (1, 2, 3)
@@ -206,5 +206,8 @@ def _same(a: Column, b: Column) -> Column:
 
 def repeat_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
     """The mix itself: every document as often as it is used, with the columns of ``docs``."""
-    used = mix(docs, docs.columns, seed)
-    return used.where("times > 0").withColumn("_use", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    names = ["doc_id", "text", "source"]
+    slim = packed(docs, names)
+    used = mix(slim, slim.columns, seed).where("times > 0")
+    repeated = used.withColumn("_use", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return repeated.select(*unpacked_columns(docs, names))

@@ -167,6 +167,7 @@ def drop_repeats(docs: DataFrame, keep: list[str], size: int = WINDOW) -> DataFr
     shared = spark.sparkContext.broadcast(repeated_seeds(docs, size))
     firsts = first_windows(docs, shared, size)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    own_ = [F.col(f"`{c}`").alias(f"_kept{i}") for i, c in enumerate(keep)]
 
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -209,6 +210,9 @@ def drop_repeats(docs: DataFrame, keep: list[str], size: int = WINDOW) -> DataFr
 
     tag = F.shiftleft(F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)), 32)
     same = (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col("_key")) & (tag == F.col("_tag"))
-    rows = docs.join(firsts, same, "left").select(F.col("text").cast("binary").alias("_bytes"), "_first", *keep)
+    slim = docs.select("doc_id", "text", *own_)
+    rows = slim.join(firsts, same, "left").select(
+        F.col("text").cast("binary").alias("_bytes"), "_first", *[f"_kept{i}" for i in range(len(keep))]
+    )
     columns = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
     return rows.mapInArrow(cut, f"{columns}, kept string, n_words long, n_removed long, spans array<array<long>>")
