@@ -34,6 +34,9 @@ KNOWN_TABLES = ("policies", "claims", "premiums", "coverage", "agents")
 COLUMN_ENTRIES, RECORD_ENTRIES = 10, 20
 KEPT_MESSAGES = 20
 
+# Lookup keys that go whole to every task; share of the entries among which bounds of the first ones are sought.
+ASKED_ROWS, BOUND_SHARE = 1 << 18, 1 / 256
+
 Fetch = Callable[[DataFrame], DataFrame]
 
 _LOOKUP = ["lookup", "_a", "_b"]
@@ -125,33 +128,54 @@ def _with_lookup(questions: DataFrame, text: str) -> DataFrame:
     )
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _first(entries: DataFrame, keep: int) -> DataFrame:
+    """The first entries of every lookup key by their names, with their rank; every task cuts to them before the shuffle."""
+    order = Window.partitionBy(*_LOOKUP).orderBy(*_NAMES)
+    return entries.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
+
+
 def _entries(lineage: DataFrame, routed: DataFrame, by_column: int, by_record: int, fetch: Fetch | None) -> DataFrame:
     """The first entries of every lookup key that a question asks for, whole.
 
-    Entries of other keys leave first, by a semi-join with the distinct keys asked for. What is left is ranked by
-    its names alone, cut to the first few in each task before the shuffle; the values, which take the
-    transforms where the lineage is not stored, are fetched for those only.
+    Entries of other keys leave first, by a semi-join with the distinct keys asked for: up to ``ASKED_ROWS`` of them go to
+    every task, so that entries stay where they are. What is left is ranked by its names alone; the values, which take the
+    transforms where the lineage is not stored, are fetched for the first few only. Records that are asked for are fetched
+    before they become entries.
     """
+    asked = _written(routed.where(F.col("lookup").isin("backward", "forward", "record")).select(*_LOOKUP).distinct(), "asked")
+    few = asked.count() <= ASKED_ROWS
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if few else df
 
     def lookup(kind: str, a: Column, b: Column) -> Column:
         return F.struct(F.lit(kind).alias("lookup"), a.alias("_a"), b.alias("_b"))
 
-    def first(kinds: list[Column], names: tuple[str, ...], keep: int) -> DataFrame:
-        asked = routed.where(F.col("lookup").isin(*names)).select(*_LOOKUP).distinct()
-        ranked = lineage.select(*_NAMES, F.inline(F.array(*kinds))).join(asked, _LOOKUP, "left_semi")
-        order = Window.partitionBy(*_LOOKUP).orderBy(*_NAMES)
-        return ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
+    def wanted(entries: DataFrame, kinds: list[Column], names: tuple[str, ...]) -> DataFrame:
+        keys = asked.where(F.col("lookup").isin(*names))
+        return entries.select(*_NAMES, F.inline(F.array(*kinds))).join(small(keys), _LOOKUP, "left_semi")
 
     columns = [
         lookup("backward", F.col("target_table"), F.col("target_column")),
         lookup("forward", F.col("source_table"), F.col("source_column")),
     ]
-    records = [lookup("record", F.col("record_id"), F.lit(""))]
-    found = first(columns, ("backward", "forward"), by_column).unionByName(first(records, ("record",), by_record))
-    chosen = found.select(*_LOOKUP, *[F.col(c).alias(f"_{c}") for c in _NAMES]).distinct()
-    path = scratch_path(lineage.sparkSession, "chosen")  # a few rows per key asked for, read several times
-    chosen.write.parquet(path)
-    chosen = lineage.sparkSession.read.schema(chosen.schema).parquet(path)
+    by_name = wanted(lineage, columns, ("backward", "forward"))
+    # The last of the first few in any subset has no fewer before it in the whole: nothing after it can be chosen.
+    bounds = _first(by_name.sample(BOUND_SHARE, seed=0), by_column).where(F.col("rank") == by_column)
+    bounds = bounds.select(*_LOOKUP, F.struct(*_NAMES).alias("_bound"))
+    by_name = by_name.join(small(bounds), _LOOKUP, "left").where(F.col("_bound").isNull() | (F.struct(*_NAMES) <= F.col("_bound")))
+
+    records = asked.where(F.col("lookup") == "record").select(F.col("_a").alias("record_id"))
+    by_id = wanted(fetch(records) if fetch else lineage, [lookup("record", F.col("record_id"), F.lit(""))], ("record",))
+    found = _first(by_name.drop("_bound"), by_column).unionByName(_first(by_id, by_record))
+    # A few rows per key asked for, read several times.
+    chosen = _written(found.select(*_LOOKUP, *[F.col(c).alias(f"_{c}") for c in _NAMES]).distinct(), "chosen")
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _NAMES]
     source = fetch(chosen.select(F.col("_record_id").alias("record_id"))) if fetch else lineage
     whole = source.select(*_NAMES, *_REST).join(chosen, reduce(and_, same)).drop(*[f"_{c}" for c in _NAMES])

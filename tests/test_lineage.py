@@ -174,3 +174,27 @@ def test_context(spark):
     limits = {"backward": 3, "forward": 3, "record": 5}
     expected = [r for r in found if r["rank"] <= limits.get(r["lookup"], 1)]
     assert sorted(map(str, fewer)) == sorted(map(str, expected))
+
+
+def test_context_moves_only_the_first_entries(spark, monkeypatch):
+    """With keys too large for an automatic broadcast, and bounds in force, lookups still sort no entries for a join."""
+    rows = [(f"POL-{i // 2:06d}", str(i), "B") for i in range(400)]
+    lineage = ln.build_lineage(spark.createDataFrame(rows, FIELDS), MAPPING, "J1").localCheckpoint()
+    asked = [(1, "Where did premium_amount in policies come from?"), (2, "Show POL-000150"), (3, "Show POL-999999")]
+    questions = spark.createDataFrame(asked, "question_id INT, question STRING")
+    plans, write = {}, qs._written
+    monkeypatch.setattr(qs, "BOUND_SHARE", 0.2)
+    monkeypatch.setattr(qs, "_written", lambda df, label: plans.setdefault(label, df) and write(df, label))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = qs.question_context(questions, lineage).collect()
+        plan = plans["chosen"]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    by_column = sorted((r["rank"], r["record_id"]) for r in found if r["question_id"] == 1)
+    assert by_column == [(i + 1, f"POL-{i // 2:06d}") for i in range(10)]
+    by_record = {(r["record_id"], r["source_column"], r["source_value"]) for r in found if r["question_id"] == 2}
+    assert len(by_record) == 4 and {r for r, *_ in by_record} == {"POL-000150"}
+    assert {r["question_id"] for r in found} == {1, 2}
