@@ -198,3 +198,21 @@ def test_context_moves_only_the_first_entries(spark, monkeypatch):
     by_record = {(r["record_id"], r["source_column"], r["source_value"]) for r in found if r["question_id"] == 2}
     assert len(by_record) == 4 and {r for r, *_ in by_record} == {"POL-000150"}
     assert {r["question_id"] for r in found} == {1, 2}
+
+
+def test_data_map_packs_a_record(spark):
+    """Entries of a record reach the shuffle as one row per batch, copies of a field once; null and empty ids count as one field."""
+    rows = spark.createDataFrame([("POL-000001", str(9 - i % 3), "B") for i in range(50)] + ROWS[1:], FIELDS).coalesce(1)
+    lineage = ln.build_lineage(rows, MAPPING, "J1").withColumn("_failed", F.lit(False))
+    names = [*ln._ID_PARTS, "source_value", "target_value", "transformation", "etl_commit_id", "_failed"]
+    packed = {r["_record"]: r["_packed"] for r in ln._packed(lineage.select(*names)).collect()}
+    assert {k: len(v) for k, v in packed.items()} == {"POL-000001": 3, "POL-000002": 3}
+    assert [(e["source_value"], e["_n"]) for e in packed["POL-000001"] if e["source_column"] == "PREM_AMT"] == [("7", 50)]
+
+    entries = lineage.drop("_failed").where("record_id = 'POL-000002'")
+    mixed = entries.withColumn("record_id", F.lit("")).unionByName(
+        entries.where("target_column = 'status'").withColumn("record_id", F.lit(None).cast("string"))
+    )
+    none = spark.createDataFrame([], "record_id STRING, field_name STRING")
+    maps = {r["record_id"]: (r["total_fields"], r["entries"]) for r in ln.data_map(mixed, none, "J1").collect()}
+    assert maps == {None: (1, 2), "": (2, 2)}
