@@ -25,6 +25,8 @@ DIMENSIONS, CONFIDENCE = 8, 0.97
 SAMPLE, CELL_ROWS = 16_384, 4_096
 #: Points of a block, and of a leaf of the tree inside a block.
 BLOCK, LEAF = 1_024, 64
+#: Query blocks of a cell whose best a task holds while it goes through the cell's candidate blocks.
+HELD = 256
 
 
 def chi_square_limit(confidence: float, m: int = DIMENSIONS) -> float:
@@ -286,12 +288,29 @@ def _onward(rows: DataFrame, low, high, turn, most: float, limit: float, k: int)
 
 
 def _verified(pairs: DataFrame, most: float, limit: float, k: int) -> DataFrame:
+    """What the pairs of a query block and a candidate block give: the ``k`` best of a query once per cell and task.
+
+    Pairs of a cell stand together, so what its blocks find is merged before it leaves the task; beyond ``HELD``
+    query blocks of a cell the oldest is let go early.
+    """
+
     def search(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        held: dict[bytes, tuple] = {}
+        now = None
+
+        def out(key):
+            kinds = (pa.int64(), pa.int64(), pa.float64())
+            columns = [pa.array(x, t) for x, t in zip(held.pop(key), kinds)]
+            return pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
+
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
+                if row["cell"] != now:
+                    yield from [out(key) for key in list(held)]
+                    now = row["cell"]
                 n, ids = row["n"], np.frombuffer(row["ids"], np.int64)
                 queries, flat = unpacked(row["data"], n), unpacked(row["projected"], n)
                 best = np.full((n, k), -np.inf)
@@ -305,7 +324,14 @@ def _verified(pairs: DataFrame, most: float, limit: float, k: int) -> DataFrame:
                     queries, ids, flat, best, unpacked(row["c_data"], row["c_n"]), np.frombuffer(row["c_ids"], np.int64),
                     unpacked(row["c_projected"], row["c_n"]), most, limit, k,
                 )
-                kinds = (pa.int64(), pa.int64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, kinds)], ["query_id", "vec_id", "score"])
+                key = row["ids"]
+                if key in held:
+                    found = tuple(np.concatenate(x) for x in zip(held[key], found))
+                    chosen = best_of(*found, k)
+                    found = tuple(x[chosen] for x in found)
+                elif len(held) >= HELD:
+                    yield out(next(iter(held)))
+                held[key] = found
+        yield from [out(key) for key in list(held)]
 
     return pairs.mapInArrow(search, "query_id long, vec_id long, score double")

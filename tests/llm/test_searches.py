@@ -105,3 +105,27 @@ def test_queries(session, sf_dir):
     got = gathered(QUERIES["op2_nearest"](session, sf_dir).collect())
     hits = sum(len({i for _, i, _ in got[q]} & {i for _, i, _ in want[q]}) for q in want)
     assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_blocks_of_a_cell_are_merged_in_the_task(session):
+    """A query leaves a task with ``k`` rows per cell, however many candidate blocks the cell has."""
+    chance, turn = np.random.default_rng(4), ann.projection(6, 20)
+    x = chance.standard_normal((640, 6))
+    most = float((x * x).sum(axis=1).max())
+
+    def block(ids, lifted):
+        lift = np.sqrt(np.maximum(most - (x[ids] ** 2).sum(axis=1), 0.0)) if lifted else np.zeros(len(ids))
+        return (np.array(ids, np.int64).tobytes(), x[ids].tobytes(), len(ids), ann._projected(x[ids], lift, turn).tobytes())
+
+    queries = [block(range(0, 20), False), block(range(20, 30), False)]
+    candidates = [block(range(at, at + 64), True) for at in range(0, 640, 64)]
+    rows = [(cell, *q, *(bytearray(v) if isinstance(v, bytes) else v for v in c)) for cell in (0, 1) for c in candidates for q in queries]
+    schema = "cell long, ids binary, data binary, n long, projected binary, c_ids binary, c_data binary, c_n long, c_projected binary"
+    rows = [tuple(bytearray(v) if isinstance(v, bytes) else v for v in row) for row in rows]
+    pairs = session.createDataFrame(rows, schema).coalesce(1)
+    found = ann._verified(pairs, most, 1e9, 5).collect()
+    assert len(found) == 2 * 30 * 5
+    scores = x[:30] @ x.T
+    scores[np.arange(30), np.arange(30)] = -np.inf
+    want = {(q, int(v)) for q in range(30) for v in np.argsort(-scores[q])[:5]}
+    assert {(r["query_id"], r["vec_id"]) for r in found} == want
