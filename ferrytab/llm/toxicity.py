@@ -293,14 +293,16 @@ def _spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 def _keys(codes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each size the keys of the grams that end at each position, and of their contexts."""
-    n = len(codes)
+    n, empty = len(codes), mixed(np.zeros(1, np.uint64))[0]
+    shorter = np.full(n, empty, np.uint64)  # of the grams one shorter, by their ends
     for size in range(1, ORDER + 1):
         h = np.zeros(n, np.uint64)
         h[size - 1 :] = _hashes(codes, size)
-        contexts = np.full(n, mixed(np.zeros(1, np.uint64))[0], np.uint64)
+        contexts = np.full(n, empty, np.uint64)
         if size > 1:
-            contexts[size - 1 :] = _hashes(codes, size - 1)[: n - size + 1]
+            contexts[size - 1 :] = shorter[size - 2 : n - 1]
         yield size, h, contexts ^ CONTEXT
+        shorter = h
 
 
 def needed_keys(words: list[str]) -> np.ndarray:
@@ -427,7 +429,9 @@ class _Reader:
         new = [w for w in set().union(*counted) if w not in self.known]
         if len(self.known) + len(new) > self.limit:
             self.known, new = {}, list(set().union(*counted))
-        self.known.update(zip(new, word_scores(self.table, self.floor, new).tolist()))
+        for at in range(0, len(new), LOT_WORDS):
+            lot = new[at : at + LOT_WORDS]
+            self.known.update(zip(lot, word_scores(self.table, self.floor, lot).tolist()))
         known = self.known.__getitem__
         return [
             document_features(np.fromiter(map(known, c), np.float64, len(c)), np.fromiter(c.values(), np.int64, len(c)))

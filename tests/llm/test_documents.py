@@ -303,3 +303,19 @@ def test_pipeline(session, sf_dir):
             assert docs.columns == columns
     assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert 0 < counts[3] <= counts[1] <= counts[0]
+
+
+def test_new_words_are_scored_in_lots(monkeypatch):
+    """However many new words a lot of texts has, few are scored at once, and each gram is hashed once for its two uses."""
+    words = [f"{chr(97 + i % 26)}word{i}" for i in range(500)]
+    keys = toxicity.needed_keys(words)
+    chance = np.random.default_rng(3)
+    arrays = (keys, *chance.random((4, len(keys))))
+    want = toxicity._Reader(arrays, 1, 1e-3).features([" ".join(words), words[7]])
+    seen, hashed, score, hashes = [], [], toxicity.word_scores, toxicity._hashes
+    monkeypatch.setattr(toxicity, "LOT_WORDS", 100)
+    monkeypatch.setattr(toxicity, "word_scores", lambda table, floor, lot: seen.append(len(lot)) or score(table, floor, lot))
+    monkeypatch.setattr(toxicity, "_hashes", lambda codes, size: hashed.append(size) or hashes(codes, size))
+    got = toxicity._Reader(arrays, 1, 1e-3).features([" ".join(words), words[7]])
+    assert np.allclose(got, want, rtol=0, atol=1e-9)
+    assert seen == [100] * 5 and sorted(hashed) == [size for size in range(1, toxicity.ORDER + 1) for _ in range(5)]
