@@ -15,10 +15,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrytab.llm.common import WORD, WordHashes, grams, landed, mixed, packed, unpacked_columns
+from ferrytab.llm.common import WORD, grams, landed, mixed, packed, unpacked_columns, word_hashes
 from ferrytab.llm.graph import components
 
 #: Words of a shingle; documents link if ``PERCENT`` of the union of their sets is common.
@@ -33,12 +34,51 @@ FILTER_BITS = 1 << 28
 REGION_ROWS, REGION_SHINGLES = 4_000, 2_000_000
 
 
-def shingles(text: bytes | None, hashes: WordHashes, size: int = SHINGLE) -> np.ndarray:
-    """Distinct hashes of ``size`` consecutive words, A-Z lower-cased; of fewer words one for all of them."""
-    words = text.lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    return np.unique(grams(hashes.of(words), min(size, len(words))))
+def shingle_sets(texts: list[bytes | None], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text the distinct hashes of ``size`` consecutive words, A-Z lower-cased, in order; of fewer words one for all of them.
+
+    The sets stand in one array, one after the other; the second array has their sizes.
+    """
+    words, counts = word_hashes(texts)
+    if not len(words):
+        return words, counts
+    ends = np.cumsum(counts)
+    # A gram of the whole row of words is a text's own if it ends before the text does; short texts have theirs put in its place.
+    every = np.zeros(len(words), np.uint64)
+    every[: max(0, len(words) - size + 1)] = grams(words, size)
+    own = np.maximum(counts - size + 1, np.minimum(counts, 1))
+    for n in range(1, size):
+        at = (ends - counts)[counts == n]
+        if len(at):
+            every[at] = grams(words, n)[at]
+    found = every[np.repeat(ends - counts, own) + _ordinals(own)]
+    ends = np.cumsum(own)
+    for start, end in zip((ends - own).tolist(), ends.tolist()):
+        found[start:end].sort()
+    new = np.ones(len(found), bool)
+    new[1:] = found[1:] != found[:-1]
+    new[(ends - own)[own > 0]] = True
+    before = np.concatenate([[0], np.cumsum(new)])
+    return found[new], before[ends] - before[ends - own]
+
+
+def _ordinals(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... ``n - 1`` for each ``n`` of ``counts``."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _parts(flat: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    return np.split(flat, np.cumsum(counts)[:-1]) if len(counts) else []
+
+
+def _lots(texts) -> Iterator[tuple[int, int, list[bytes | None]]]:
+    """First and last place, and values, of up to 1,000 texts or about 2 MB of an Arrow column."""
+    sizes = np.cumsum([0, *(n or 0 for n in pc.binary_length(texts).to_pylist())])
+    at = 0
+    while at < len(texts):
+        last = min(at + 1000, max(at + 1, int(np.searchsorted(sizes, sizes[at] + (2 << 20)))), len(texts))
+        yield at, last, texts.slice(at, last - at).to_pylist()
+        at = last
 
 
 def set_hash(shingle_set: np.ndarray) -> int:
@@ -62,36 +102,52 @@ def _bounds(percent: int) -> list[int]:
 
 
 def bucket_contents(shingle_set: np.ndarray, ends: list[int], percent: int) -> tuple[np.ndarray, int]:
-    """Hashes of the contents of a set's buckets, in its size class and, if partners may be in it, in the next.
+    """What :func:`contents_of` gives for one set."""
+    contents, _, spare = contents_of(shingle_set, np.array([len(shingle_set)]), ends, percent)
+    return contents, int(spare[0])
+
+
+def contents_of(flat: np.ndarray, sizes: np.ndarray, ends: list[int], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the contents of each set's buckets, in its size class and, if partners may be in it, in the next.
+
+    The sets stand in ``flat`` one after the other, and so do the contents; the other arrays tell how many are each set's.
 
     Two linked sets of sizes below ``end`` differ in at most ``most`` shingles, so of more than
     ``most`` buckets they share the content of one. There are ``EXTRA`` more, so that shared ones are not
     empty unless a set has very many empty buckets; then its empty ones count too.
 
-    The number says how many of its contents a set may leave out: a linked set shares more than twice
+    The last array says how many of its contents a set may leave out: a linked set shares more than twice
     as many with it, so when both leave out theirs a shared one is left.
     """
-    n = len(shingle_set)
-    if n <= equal_only(percent):
-        return np.zeros(0, np.uint64), 0
-    own = int(np.searchsorted(ends, n, side="right"))
-    classes = [own] + [own + 1] * (n * 100 // percent >= ends[own])
-    spread, value = mixed(shingle_set ^ np.uint64(0x5851F42D4C957F2D)), mixed(shingle_set + np.uint64(0x14057B7EF767814F))
-    out, common = [], []
-    for k in classes:
-        most = (100 - percent) * 2 * (ends[k] - 1) // (100 + percent)
-        count = most + 1 + 4 + int(most * EXTRA)
-        bucket = (spread % np.uint64(count)).astype(np.int64)
-        content = np.zeros(count, np.uint64)
-        np.add.at(content, bucket, value)
-        full = np.zeros(count, bool)
-        full[bucket] = True
-        common.append(max(1, int(full.sum()) - most))
-        if full.sum() <= most:
-            full[:] = True
-        at = np.flatnonzero(full)
-        out.append(mixed(content[at] + mixed(at.astype(np.uint64) * np.uint64(64) + np.uint64(k))))
-    return np.concatenate(out), (min(common) - 1) // 2
+    sizes = np.asarray(sizes, np.int64)
+    limits = np.array(ends, np.int64)
+    most_in = (100 - percent) * 2 * (limits - 1) // (100 + percent)
+    count_in = most_in + 1 + 4 + (most_in * EXTRA).astype(np.int64)
+    some = np.flatnonzero(sizes > equal_only(percent))
+    own = np.searchsorted(limits, sizes[some], side="right")
+    both = sizes[some] * 100 // percent >= limits[own]
+    # One row per set and class, those of a set next to each other.
+    which = np.repeat(some, 1 + both)
+    k = np.repeat(own, 1 + both) + _ordinals(1 + both)
+    n, count, most = sizes[which], count_in[k], most_in[k]
+    firsts = np.cumsum(count) - count
+    members = np.repeat((np.cumsum(sizes) - sizes)[which], n) + _ordinals(n)
+    names = flat[members]
+    spread = mixed(names ^ np.uint64(0x5851F42D4C957F2D)) % np.repeat(count.astype(np.uint64), n)
+    bucket = np.repeat(firsts, n) + spread.astype(np.int64)
+    content, full = np.zeros(count.sum(), np.uint64), np.zeros(count.sum(), bool)
+    np.add.at(content, bucket, mixed(names + np.uint64(0x14057B7EF767814F)))
+    full[bucket] = True
+    filled = np.add.reduceat(full, firsts, dtype=np.int64) if len(firsts) else count
+    common = np.maximum(filled - most, 1)
+    full |= np.repeat(filled <= most, count)
+    at = np.flatnonzero(full)
+    place = _ordinals(count)[at].astype(np.uint64) * np.uint64(64) + np.repeat(k, count)[at].astype(np.uint64)
+    counts, spare = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+    np.add.at(counts, which, np.where(filled <= most, count, filled))
+    if len(some):
+        spare[some] = (np.minimum.reduceat(common, np.cumsum(1 + both) - (1 + both)) - 1) // 2
+    return mixed(content[at] + mixed(place)), counts, spare
 
 
 def _repeating(docs: DataFrame, percent: int, size: int) -> np.ndarray:
@@ -104,19 +160,13 @@ def _repeating(docs: DataFrame, percent: int, size: int) -> np.ndarray:
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        hashes = WordHashes()
         for batch in batches:
-            texts = batch.column(0)
-            for at in range(0, batch.num_rows, 1000):
-                seen: set[int] = set()
-                parts = []
-                for i in range(at, min(at + 1000, batch.num_rows)):
-                    found = shingles(texts[i].as_py(), hashes, size)
-                    key = set_hash(found)
-                    if key not in seen:  # copies count once
-                        seen.add(key)
-                        parts.append(bucket_contents(found, ends, percent)[0])
-                contents, n = np.unique(np.concatenate(parts), return_counts=True)
+            for _, _, texts in _lots(batch.column(0)):
+                flat, sizes = shingle_sets(texts, size)
+                alone = {set_hash(found): found for found in _parts(flat, sizes)}  # copies count once
+                sizes = np.fromiter(map(len, alone.values()), np.int64, len(alone))
+                found, _, _ = contents_of(np.concatenate([*alone.values()]), sizes, ends, percent)
+                contents, n = np.unique(found, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(contents.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int8))], ["content", "n"]
                 )
@@ -143,27 +193,23 @@ def _sets(docs: DataFrame, shared, percent: int, size: int) -> DataFrame:
     def scan(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        hashes = WordHashes()
         for batch in batches:
-            texts, ids, tags = (batch.column(i) for i in range(3))
-            for at in range(0, batch.num_rows, 1000):
-                last, seen = min(at + 1000, batch.num_rows), set()
-                nodes, sizes, contents, spare, kept = [], [], [], [], []
-                for i in range(at, last):
-                    text = texts[i].as_py()
-                    found = shingles(text, hashes, size)
-                    key, own, some = set_hash(found), np.zeros(0, np.uint64), 0
-                    if key not in seen:
-                        own, some = bucket_contents(found, ends, percent)
-                        bit = own & np.uint64(FILTER_BITS - 1)
-                        word = shared.value[(bit >> np.uint64(6)).astype(np.int64)]
-                        own = own[(word >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)]
-                        seen.add(key)
+            ids, tags = batch.column(1), batch.column(2)
+            for at, last, texts in _lots(batch.column(0)):
+                flat, sizes = shingle_sets(texts, size)
+                own, counts, spare = contents_of(flat, sizes, ends, percent)
+                bit = own & np.uint64(FILTER_BITS - 1)
+                word = shared.value[(bit >> np.uint64(6)).astype(np.int64)]
+                may = (word >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+                seen: set[int] = set()
+                nodes, contents, kept = [], [], []
+                for i, (found, part, left) in enumerate(zip(_parts(flat, sizes), _parts(own, counts), _parts(may, counts))):
+                    key = set_hash(found)
+                    part = part[left] if key not in seen else part[:0]
+                    seen.add(key)
                     nodes.append(key if len(found) else None)
-                    sizes.append(len(found))
-                    contents.append(own.view(np.int64))
-                    spare.append(some)
-                    kept.append(text if len(own) else None)
+                    contents.append(part.view(np.int64))
+                    kept.append(texts[i] if len(part) else None)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(at, last - at), tags.slice(at, last - at), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
                      pa.array(contents, pa.list_(pa.int64())), pa.array(spare, pa.int32()), pa.array(kept, pa.binary())],
@@ -286,8 +332,6 @@ def _joined(cells: DataFrame, percent: int, size: int) -> DataFrame:
     def join(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        hashes = WordHashes()
-
         def links(pivot, nodes, sets):
             if len(nodes) < 2:
                 return None
@@ -301,14 +345,15 @@ def _joined(cells: DataFrame, percent: int, size: int) -> DataFrame:
         now, nodes, sets = None, [], []
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(4)]
-            texts = batch.column(4)
-            for i, (pivot, a, b, node) in enumerate(zip(*columns)):
-                if (pivot, a, b) != now:
-                    if now and (out := links(now[0], nodes, sets)):
-                        yield out
-                    now, nodes, sets = (pivot, a, b), [], []
-                nodes.append(node)
-                sets.append(shingles(texts[i].as_py(), hashes, size))
+            for at, last, texts in _lots(batch.column(4)):
+                found = _parts(*shingle_sets(texts, size))
+                for (pivot, a, b, node), one in zip(zip(*(c[at:last] for c in columns)), found):
+                    if (pivot, a, b) != now:
+                        if now and (out := links(now[0], nodes, sets)):
+                            yield out
+                        now, nodes, sets = (pivot, a, b), [], []
+                    nodes.append(node)
+                    sets.append(one)
         if now and (out := links(now[0], nodes, sets)):
             yield out
 

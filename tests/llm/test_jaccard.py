@@ -1,11 +1,13 @@
 import random
+import time
+from hashlib import blake2b
 from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ferrytab.llm import jaccard
+from ferrytab.llm import common, jaccard
 from ferrytab.llm.queries import QUERIES
 
 
@@ -138,3 +140,38 @@ def test_extra_columns_of_any_type_and_name_stay(frame):
 def test_query(session, sf_dir):
     rows = [tuple(r) for r in session.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, QUERIES["op8_jaccard"](session, sf_dir).collect()), key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("piece", [16, 1 << 17])
+@pytest.mark.parametrize("size", [1, 4, 5])
+def test_shingles_of_a_lot_are_those_of_each_text(monkeypatch, piece, size):
+    monkeypatch.setattr(common, "PIECE", piece)
+    chance = random.Random(size)
+    texts = [None, "", " \n", "A", "a b", "a  B\tc", "x" * 300 + " " + "x" * 299 + " y\x0bz", "\xa0 \x1c a\x85b", "ab ba a b", "ba ab b a"]
+    texts += [" ".join(chance.choice(["a", "bb", "C", "ccc dd"]) for _ in range(chance.randrange(12))) for _ in range(200)]
+    coded = [None if t is None else t.encode() for t in texts]
+    flat, sizes = jaccard.shingle_sets(coded, size)
+    want = sets_of(enumerate(texts), size)
+    assert sizes.tolist() == [len(s) for s in want]
+    got = [set(x.tolist()) for x in jaccard._parts(flat, sizes)]
+    assert [a == b for a, b in combinations(got, 2)] == [a == b for a, b in combinations(want, 2)]
+    for percent in (80, 85):  # contents of a lot are those of each set
+        ends = jaccard._bounds(percent)
+        found, counts, spare = jaccard.contents_of(flat, sizes, ends, percent)
+        for i, (one, part) in enumerate(zip(jaccard._parts(flat, sizes), jaccard._parts(found, counts))):
+            alone, few = jaccard.bucket_contents(one, ends, percent)
+            assert part.tolist() == alone.tolist() and spare[i] == few
+
+
+def test_shingles_take_no_python_step_per_word():
+    chance = random.Random(2)
+    texts = [" ".join(f"{chance.randrange(1 << 40):x}" for _ in range(400)).encode() for _ in range(500)]
+    jaccard.shingle_sets(texts)
+    start = time.process_time()
+    jaccard.shingle_sets(texts)
+    took = time.process_time() - start
+    start = time.process_time()
+    for text in texts:
+        for word in text.split():
+            blake2b(word, digest_size=8).digest()
+    assert took < time.process_time() - start
