@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_intdigest
 
+from ferrytab.llm.common import kept
+
 #: Code points with the Unicode property White_Space. Fixed values.
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -249,15 +251,9 @@ class ByteBpe:
         return _decoding(self._shared)(ids)
 
 
-#: Encoders of this process by their broadcast, kept from task to task.
-_ENCODERS: dict[int, tuple] = {}
-
-
 def _encoder(shared, pattern: str) -> Encoder:
-    if id(shared) not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[id(shared)] = shared, Encoder(*shared.value, pattern)
-    return _ENCODERS[id(shared)][1]
+    """Of a broadcast vocabulary; kept with the broadcast, whose ``id`` is then no other's."""
+    return kept(("bpe", id(shared)), lambda: (shared, Encoder(*shared.value, pattern)))[1]
 
 
 def _ids(texts, shared, pattern: str):

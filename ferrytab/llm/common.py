@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import zipfile
+from collections.abc import Callable, Hashable
 from pathlib import Path
+from typing import Any
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -168,3 +170,20 @@ def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum([len(text or b"") + 1 for text in texts])
     begins = np.concatenate(begins or [np.zeros(0, np.int64)])
     return np.concatenate(hashes or [np.zeros(0, np.uint64)]), np.diff(np.searchsorted(begins, ends), prepend=0)
+
+
+#: What tasks of one operator keep in this process for its next ones.
+_KEPT: dict = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """The tool that ``make`` makes, the same for all tasks that ask for ``key`` in a row; there is one at a time."""
+    if key not in _KEPT:
+        forget()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Free what another operator's tasks have kept: a worker process serves one after the other."""
+    _KEPT.clear()

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrytab.llm.common import WORD, grams, landed, mixed, packed, unpacked_columns, word_hashes
+from ferrytab.llm.common import WORD, forget, grams, landed, mixed, packed, unpacked_columns, word_hashes
 from ferrytab.llm.graph import components
 
 #: Words of a shingle; documents link if ``PERCENT`` of the union of their sets is common.
@@ -160,6 +160,7 @@ def _repeating(docs: DataFrame, percent: int, size: int) -> np.ndarray:
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        forget()
         for batch in batches:
             for _, _, texts in _lots(batch.column(0)):
                 flat, sizes = shingle_sets(texts, size)
@@ -193,6 +194,7 @@ def _sets(docs: DataFrame, shared, percent: int, size: int) -> DataFrame:
     def scan(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        forget()
         for batch in batches:
             ids, tags = batch.column(1), batch.column(2)
             for at, last, texts in _lots(batch.column(0)):
@@ -332,6 +334,7 @@ def _joined(cells: DataFrame, percent: int, size: int) -> DataFrame:
     def join(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        forget()
         def links(pivot, nodes, sets):
             if len(nodes) < 2:
                 return None

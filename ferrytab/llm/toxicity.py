@@ -15,7 +15,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrytab.llm.common import landed, mixed
+from ferrytab.llm.common import forget, landed, mixed
 
 #: Characters of the longest context plus the one that follows.
 ORDER = 5
@@ -152,6 +152,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
         import pyarrow as pa
 
+        forget()
         clean = _cleaner()
 
         def out():
@@ -461,6 +462,7 @@ def _document_features(docs: DataFrame, model: ToxicModel, which: int) -> DataFr
     def read(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        forget()
         reader = _Reader(small.value, which, floor)
         for batch in batches:
             features = pa.array([list(f) for f in reader.of(batch.column(2))], pa.list_(pa.float64()))
@@ -564,6 +566,7 @@ def drop_toxic(docs: DataFrame, model: ToxicModel) -> DataFrame:
         def keep(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
+            forget()
             reader = _Reader(small.value, 1, floor)
             for batch in batches:
                 kept = batch.filter(pa.array([probability(weights, f) < 0.5 for f in reader.of(batch.column(at))], pa.bool_()))
