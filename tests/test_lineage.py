@@ -1,11 +1,14 @@
 """Lineage of records, its queries, and the questions that are answered from it."""
 
+import hashlib
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from ferrytab.operators import lineage as ln
 from ferrytab.operators import questions as qs
-from ferrytab.operators.mapping import EntityMapping, FieldMapping
+from ferrytab.operators.mapping import POLICY_MAPPING, EntityMapping, FieldMapping
 
 MAPPING = EntityMapping(
     "policies",
@@ -46,6 +49,23 @@ def test_same_job_gives_same_ids(spark, lineage):
     assert other.join(lineage, "lineage_id", "left_semi").count() == 0
 
 
+def test_ids_are_the_digests_of_the_stored_texts(lineage):
+    for r in lineage.collect():
+        parts = [r[name] for name in ln._ID_PARTS]
+        assert r["lineage_id"] == hashlib.md5("|".join(parts).encode()).hexdigest()
+
+
+def test_the_jvm_compiles_the_lineage_of_policies(spark, tmp_path, capsys):
+    """The JVM interprets methods of 8,000 bytes and more, for every row."""
+    rows = spark.createDataFrame([("x",) * len(POLICY_MAPPING.fields)], [f.source_column for f in POLICY_MAPPING.fields])
+    wide = ln.wide_rows(rows, POLICY_MAPPING)
+    wide.write.parquet(f"{tmp_path}/wide")
+    landed = spark.read.schema(wide.schema).parquet(f"{tmp_path}/wide")
+    ln.lineage_of(landed, POLICY_MAPPING, ln.present_fields(rows, POLICY_MAPPING), "J1").explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_queries(lineage):
     assert ln.forward(lineage, "db2_policies", "PREM_AMT").count() == 2
     assert ln.forward(lineage, "db2_policies", "PREM_AMT", "other job").count() == 0
