@@ -196,3 +196,20 @@ def test_an_earlier_loads_errors_are_gone(spark, space):
     assert space.load_errors("stale").count() == 1
     space.load(rows, "stale", GREEN)
     assert space.load_errors("stale").count() == 0
+
+
+def test_every_core_has_several_tasks_of_a_stage(spark, space, policies):
+    small = {
+        "spark.sql.shuffle.partitions": "64", "spark.sql.files.openCostInBytes": "1",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
+    }
+    before = {name: spark.conf.get(name) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        assert migrate(space, policies, job_id="EVEN").error is None
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    # A task writes a file: one per core, or a few more, would leave most cores waiting for the last.
+    assert len(space.records("lineage_records", "EVEN", "policies").inputFiles()) >= 3 * spark.sparkContext.defaultParallelism

@@ -5,7 +5,7 @@ import os
 import pytest
 
 from ferrytab.plans.catalogue import QUERIES
-from ferrytab.session import scratch_dir, scratch_path, scratch_scope
+from ferrytab.session import TASKS_PER_CORE, even_tasks, scratch_dir, scratch_path, scratch_scope
 from ferrytab.sources.extract import extract_batches
 
 
@@ -42,3 +42,32 @@ def test_scopes_stand_in_each_other_and_end_with_errors(spark):
 def test_a_path_that_was_never_written_is_no_error(spark):
     with scratch_scope(spark):
         scratch_path(spark, "never")
+
+
+SCAN, SHUFFLE = "spark.sql.files.minPartitionNum", "spark.sql.adaptive.coalescePartitions.minPartitionNum"
+
+
+def test_a_stage_of_even_tasks_has_several_per_core(spark):
+    rows, cores = scratch_path(spark, "rows"), spark.sparkContext.defaultParallelism
+    spark.range(0, 6_400, 1, 64).write.parquet(rows)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")  # files this small are else read together
+    try:
+        assert spark.read.parquet(rows).rdd.getNumPartitions() <= 2 * cores
+        with even_tasks(spark):
+            assert spark.read.parquet(rows).rdd.getNumPartitions() >= 3 * cores
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_settings_of_the_session_stay_and_come_back(spark):
+    spark.conf.set(SCAN, "7")
+    try:
+        with pytest.raises(RuntimeError), even_tasks(spark):
+            least = str(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+            with even_tasks(spark):
+                assert (spark.conf.get(SCAN), spark.conf.get(SHUFFLE)) == ("7", least)
+            assert (spark.conf.get(SCAN), spark.conf.get(SHUFFLE)) == ("7", least)
+            raise RuntimeError
+        assert (spark.conf.get(SCAN), spark.conf.get(SHUFFLE, None)) == ("7", None)
+    finally:
+        spark.conf.unset(SCAN)
