@@ -20,8 +20,8 @@ from ferrytab.llm.vectors import BLOCK, QUERY_BLOCK, best_of, blocks, fitted, le
 COORDINATE_FROM = 0.75
 #: Coordinates, the query's largest, that are compared with the threshold.
 FOCUS = 4
-#: Blocks of candidates for which one copy of the queries is made.
-GROUP = 8
+#: Blocks of candidates for which one copy of the queries is made: as few as that in a small table, at most ``MOST`` in any.
+GROUP, MOST = 8, 64
 #: Whole numbers are exact in doubles up to here.
 EXACT = float(1 << 53)
 
@@ -116,8 +116,10 @@ def top_products(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_i
     Scores beyond a long are cut to its ends. Ties go to the smaller id.
 
     Blocks of queries meet blocks of candidates. The queries, which are few, are copied once per group
-    of candidate blocks; candidates are shuffled once. Equal lengths are told apart by a hash of the
-    id, so a vector that fills a third of the table is spread like any other.
+    of candidate blocks; candidates are shuffled once. A group is a task, which holds its candidates and sees
+    one block of queries after the other, so neither side is broadcast. Groups grow with the table where the copies
+    would else be more than the candidates. Equal lengths are told apart by a hash of the id, so a vector that fills a
+    third of the table is spread like any other.
     """
     rows = usable(vectors, key, vector, lambda x: F.floor(x * scale))
     rows = landed(rows.withColumn("length", length()), "topk-vectors")
@@ -128,25 +130,45 @@ def top_products(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_i
     # The first bucket: one block, so of bounded size.
     first = buckets.orderBy("bucket").limit(1).select(F.col("ids").alias("c_ids"), F.col("data").alias("c_data"), F.col("n").alias("c_n"))
     bounded = landed(_first_bounds(asked.withColumn("one", F.lit(1)).join(F.broadcast(first.withColumn("one", F.lit(1))), "one"), k), "topk-bounds")
-    groups = max(1, -(-buckets.count() // GROUP))
-    group = F.pmod(F.xxhash64("bucket"), F.lit(groups)).alias("g")
-    copies = bounded.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("g"))
-    grouped = buckets.select(group, F.col("ids").alias("c_ids"), F.col("data").alias("c_data"), F.col("n").alias("c_n"))
-    return ranked(_searched(copies.join(grouped, "g"), k), k)
+    groups = _groups(buckets.count(), bounded.count() * QUERY_BLOCK / BLOCK, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    group = F.pmod(F.xxhash64("bucket"), F.lit(groups)).cast("int").alias("g")
+    held = buckets.select(group, F.lit(0).alias("kind"), "ids", "data", "n", F.lit(None).cast("binary").alias("bounds"))
+    copies = bounded.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.lit(1).alias("kind"), "ids", "data", "n", "bounds")
+    together = held.unionByName(copies).repartitionById(groups, "g").sortWithinPartitions("g", "kind")
+    return ranked(_searched(together, k), k)
 
 
-def _searched(pairs: DataFrame, k: int) -> DataFrame:
+def _groups(blocks: int, asked: float, tasks: int) -> int:
+    """Groups of ``blocks`` of candidates that meet ``asked`` times a block of queries.
+
+    Of ``GROUP`` blocks each, or larger ones as long as there are ``tasks`` groups and their copies of the queries are no
+    less than the candidates.
+    """
+    enough = max(tasks, int(blocks / asked) if asked else 0)
+    return max(1, -(-blocks // MOST), min(-(-blocks // GROUP), enough))
+
+
+def _searched(together: DataFrame, k: int) -> DataFrame:
+    """What the queries of a group find in its candidates, which come before them (``kind`` 0), at most ``k`` a query."""
+
     def search(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        at, held = None, []
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                found = search_bucket(
-                    unpacked(row["data"], row["n"]), np.frombuffer(row["ids"], np.int64), np.frombuffer(row["bounds"], np.float64),
-                    unpacked(row["c_data"], row["c_n"]), np.frombuffer(row["c_ids"], np.int64), k,
-                )
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["query_id", "vec_id", "score"])
-
-    needed = pairs.select("ids", "data", "n", "bounds", "c_ids", "c_data", "c_n")
-    return needed.mapInArrow(search, "query_id long, vec_id long, score long")
+                if row["g"] != at:
+                    at, held = row["g"], []
+                vectors, ids = unpacked(row["data"], row["n"]), np.frombuffer(row["ids"], np.int64)
+                if row["kind"] == 0:
+                    held.append((vectors, ids))
+                    continue
+                bounds = np.frombuffer(row["bounds"], np.float64)
+                found = [search_bucket(vectors, ids, bounds, bucket, others, k) for bucket, others in held]
+                if found:
+                    whole = [np.concatenate(x) for x in zip(*found, strict=True)]
+                    best = best_of(*whole, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(x[best], pa.int64()) for x in whole], ["query_id", "vec_id", "score"])
+
+    return together.mapInArrow(search, "query_id long, vec_id long, score long")

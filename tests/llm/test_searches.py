@@ -129,3 +129,25 @@ def test_blocks_of_a_cell_are_merged_in_the_task(session):
     scores[np.arange(30), np.arange(30)] = -np.inf
     want = {(q, int(v)) for q in range(30) for v in np.argsort(-scores[q])[:5]}
     assert {(r["query_id"], r["vec_id"]) for r in found} == want
+
+
+def test_no_side_of_the_search_is_broadcast(session, monkeypatch):
+    """Copies of the queries are many times the table they are made of, by whose size a join would choose."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "GROUP", 1)
+    monkeypatch.setattr(topk, "_groups", lambda blocks, asked, tasks: blocks)
+    plans, real = [], topk._searched
+    monkeypatch.setattr(topk, "_searched", lambda pairs, k: plans.append(pairs) or real(pairs, k))
+    rows = vectors(300)
+    got = topk.top_products(table(session, rows), F.col("vec_id") % 10 == 0, 5).collect()
+    want = exact(rows, lambda i: i % 10 == 0, 5, lambda x: np.floor(256 * x))
+    assert gathered(got) == {q: [(r, i, int(s)) for r, i, s in found] for q, found in want.items()}
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan
+
+
+def test_copies_of_the_queries_grow_with_the_table():
+    groups = [topk._groups(n, n / 50, 32) for n in (1, 8, 400, 600, 2_400)]
+    assert groups == [1, 1, 50, 50, 50] and topk._groups(0, 0, 32) == 1
+    assert topk._groups(64_000, 1_280, 32) == 1_000  # no task holds more than a bounded number of blocks
+    assert topk._groups(600, 600, 32) == 32
