@@ -253,3 +253,33 @@ def test_data_map_from_rows_is_that_of_the_lineage(spark, sf_dir):
     got = data_map_of(wide, POLICY_MAPPING, present, rules, "J", "c")
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_repeated_run_does_not_keep_what_it_replaces(spark, space, policies):
+    """Staged rows and lineage of the run before are gone before those of this one are written; others' stay."""
+    assert space.staged_folder("J", "policies") is None
+    others = policies.selectExpr("policy_id AS claim_id", "policy_id", "cov_amt AS claim_amt", "eff_dt AS claim_dt", "status_cd", "prod_typ AS diag_cd")
+    for _ in range(2):
+        assert run(space, others, CLAIM_MAPPING, rules=[not_null_rule("claim_id")]).error is None
+        assert run(space, policies.where("policy_id is not null")).error is None
+    names = space.log.files.names(f"{space.log.folder}/files")
+    assert sum(n.startswith("lineage_records") for n in names) == sum(n.startswith("staged") for n in names) == 2
+    assert space.table("lineage_records").count() == 400 * (len(POLICY_MAPPING.fields) + len(CLAIM_MAPPING.fields))
+    assert space.staged("J", "policies").count() == space.staged("J", "claims").count() == 400
+    written = [n for folder in names for n in space.log.files.names(f"{space.log.folder}/files/{folder}") if n.endswith(".parquet")]
+    assert written and all(".zstd." in n for n in written)
+
+
+def test_a_run_that_stops_keeps_what_the_one_before_left(spark, space, policies, monkeypatch):
+    """Until the new staged rows are proven and the commit is made, those of the run before can be read."""
+    assert run(space, policies).error is None
+    kept, lines = space.staged_folder("J", "policies"), space.table("lineage_records").count()
+
+    def stop(self, *args):
+        raise Killed
+
+    monkeypatch.setattr(CommitLog, "commit", stop)
+    with pytest.raises(Killed):
+        run(space, policies)
+    assert space.log.files.exists(kept) and space.staged_folder("J", "policies") != kept
+    assert space.table("lineage_records").count() == lines == 4_000
