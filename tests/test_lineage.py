@@ -1,6 +1,7 @@
 """Lineage of records, its queries, and the questions that are answered from it."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -236,3 +237,69 @@ def test_data_map_packs_a_record(spark):
     none = spark.createDataFrame([], "record_id STRING, field_name STRING")
     maps = {r["record_id"]: (r["total_fields"], r["entries"]) for r in ln.data_map(mixed, none, "J1").collect()}
     assert maps == {None: (1, 2), "": (2, 2)}
+
+
+def _by_hand(entries, failures):
+    """{(job, record): (fields, entries)} as a data map has them; rows are in the order of ``NAMES``."""
+    least, times = {}, {}
+    for failed, rows in ((False, entries), (True, [(j, r, None, None, None, t, *[None] * 4) for j, r, t in failures])):
+        for row in rows:
+            key = (failed, *[v or "" for v in row[:6]])
+            rank = tuple((v is not None, v or "") for v in row)
+            times[key] = times.get(key, 0) + 1
+            least[key] = min(least.get(key, (rank, row)), (rank, row), key=lambda pair: pair[0])
+    records, broken = {}, {}
+    for (failed, *_), (_, row) in sorted(least.items()):
+        if failed and row[5] is not None:
+            broken.setdefault(row[:2], set()).add(row[5])
+    for key, (_, row) in least.items():
+        if not key[0]:
+            fields, n = records.get(row[:2], ([], 0))
+            fields.append((row[5], row[2], row[3], row[6], row[7], row[8], row[5] not in broken.get(row[:2], ()) if row[5] is not None else True, row[9]))
+            records[row[:2]] = (fields, n + times[key])
+    return {k: (sorted(map(repr, fields)), n) for k, (fields, n) in records.items()}
+
+
+NAMES = [*ln._ID_PARTS, "source_value", "target_value", "transformation", "etl_commit_id"]
+
+
+@pytest.mark.parametrize("lot", [7, 1 << 18])
+def test_data_map_merges_odd_entries(spark, monkeypatch, lot):
+    """Null and empty ids, columns and values, copies in many tasks and lots, and failures of records without lineage."""
+    monkeypatch.setattr(ln, "LOT", lot)
+    chance = random.Random(5)
+
+    def some(*values):
+        return chance.choice(values)
+
+    entries = [
+        (some("A", "B", "", None), some("r1", "r2", "ü3", "", None), some("s", None), some("c", "", None), "t", some("x", "y", "", None),
+         some("1", "2", "", None), some("1", None), some("copy", None), some("k", None))
+        for _ in range(600)
+    ]
+    failures = [(some("A", "B", "", None), some("r1", "", None, "nobody"), some("x", "", None)) for _ in range(25)]
+    lineage = spark.createDataFrame(entries, ", ".join(f"{n} STRING" for n in NAMES)).repartition(5)
+    broken = spark.createDataFrame(failures, "job_id STRING, record_id STRING, field_name STRING")
+    maps = ln.data_map(lineage, broken).collect()
+    got = {(r["job_id"], r["record_id"]): (sorted(repr(tuple(f)) for f in r["fields"]), r["entries"]) for r in maps}
+    assert len(got) == len(maps) and got == _by_hand(entries, failures)
+
+
+def test_entries_are_sealed_for_the_shuffle(spark):
+    """What a record's entries share is not there once an entry; every record is in one bucket."""
+    rows = spark.createDataFrame([(f"POL-{i:06d}", str(i * 7919 % 6007), "A") for i in range(6_000)], FIELDS).coalesce(2)
+    lineage = ln.build_lineage(rows, MAPPING, "J1").withColumn("_failed", F.lit(False))
+    sealed = ln._sealed(ln._packed(lineage.select(*NAMES, "_failed")), 4).collect()
+    assert len(sealed) == 8 and {r["_bucket"] for r in sealed} == {0, 1, 2, 3}
+    assert sum(len(r["_sealed"]) for r in sealed) < 12 * 18_000
+    none = spark.createDataFrame([], "record_id STRING, field_name STRING")
+    plan = ln.data_map(lineage, none, "J1")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_bucket") == 2 and "Aggregate" not in plan
+    assert ln.data_map(lineage.limit(0), none, "J1").count() == 0
+
+
+def test_more_lineage_has_more_buckets(spark):
+    rows = spark.range(1_000)
+    assert ln._buckets(rows, 32) == 128
+    assert ln._buckets(spark.range(1 << 32), 32) == 8 * (1 << 32) // ln.BUCKET_BYTES
+    assert ln._buckets(spark.range(1 << 50), 32) == ln.MOST_BUCKETS
